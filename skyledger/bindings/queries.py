@@ -66,9 +66,9 @@ def _passes(spark: SparkSession, sf_dir: str, with_order: bool = False) -> DataF
 
 
 def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    settled = _settled(spark, sf_dir, "summary", "alerts")
-    passes = station.first_seen_passes(station.summary_rows(settled))
-    stored = station.alerts(station.alert_rows(settled), passes, with_order=True)
+    passes = station.first_seen_passes(station.summary_rows(_settled(spark, sf_dir, "summary")))
+    occurrences = station.alert_rows(_settled(spark, sf_dir, "alerts"))
+    stored = station.alerts(occurrences, passes, with_order=True)
     return stored.withColumnRenamed("first_ord", "ord").drop("last_ord")
 
 
@@ -400,14 +400,13 @@ def table_stats(spark, sf_dir):
     entries = _entries(spark, sf_dir)
     tables = {name: keypool.stored_rows(entries, name) for name in KEYPOOL_TABLES if name != "key_creations"}
     tables["key_creations"] = keypool.key_creations(entries)
-    settled = _settled(spark, sf_dir)
     tables |= {
-        "ogs_environment_data": station.environment_rows(settled),
-        "ogs_link_data": station.link_rows(settled),
+        "ogs_environment_data": _environment(spark, sf_dir),
+        "ogs_link_data": _link(spark, sf_dir),
         "ogs_pass_summary": _passes(spark, sf_dir),
         "ogs_alerts": _alerts(spark, sf_dir),
         "ogs_pass_schedule": _schedule(spark, sf_dir),
-        "ogs_processed_packages": station.package_ledger(settled),
+        "ogs_processed_packages": station.package_ledger(_settled(spark, sf_dir)),
     }
     return export.table_stats(tables)
 
@@ -477,7 +476,7 @@ def _stream_packages(spark: SparkSession, sf_dir: str) -> Warehouse:
     root = scratch_folder(spark, "stream")
     documents = stand_ins.package_documents(spark, sf_dir)
     # Both deliveries of a package land in one file, as files may be taken in any order.
-    documents.repartitionByRange(4, F.floor(F.col("ord") / 2)).write.parquet(f"{root}/landing")
+    documents.repartition(4, F.floor(F.col("ord") / 2)).write.parquet(f"{root}/landing")
     warehouse = Warehouse(f"{root}/tables")
     stream = (
         spark.readStream.schema(documents.schema)

@@ -3,18 +3,24 @@
 Every event becomes one log line and one package delivery, so the work of a query grows
 with the table. Packages come in pairs: an even event is the first delivery of a package,
 the odd one after it the second.
+
+Lines and documents are derived once per session and land in the shared folder, as the
+producers of a deployment would leave them; each query starts from that text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions.rows import computed_once
 from skyledger.operators import assemble
 from skyledger.schemas import SECTIONS
+from skyledger.session import scratch_folder
 from skyledger.sources.packages import parse_documents
 from skyledger.sources.tables import read_table, spread
 
@@ -27,6 +33,23 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(read_table(spark, f"{sf_dir}/events.parquet"), "event_id")
 
 
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def _landed(spark: SparkSession, sf_dir: str, name: str, derive: Callable[[], DataFrame]) -> DataFrame:
+    """The derived rows from the shared folder, written on first use."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key in _LANDED:
+        try:
+            return read_table(spark, _LANDED[key])
+        except AnalysisException:  # the folder is gone: derive anew
+            pass
+    path = scratch_folder(spark, f"landing-{name}")
+    derive().write.parquet(path)
+    _LANDED[key] = path
+    return read_table(spark, path)
+
+
 def _choose(selector: Column, *values) -> Column:
     """values[selector]; the last one for anything beyond."""
     *some, last = [v if isinstance(v, Column) else F.lit(v) for v in values]
@@ -54,6 +77,13 @@ def _uuid(column: Column) -> Column:
 def log_lines(spark: SparkSession, sf_dir: str, before: str | None = None) -> DataFrame:
     """ord, log_file, value: one line per event, one file per day; with `before`, as the
     files stood at that moment."""
+    lines = _landed(spark, sf_dir, "lines", lambda: _derive_lines(spark, sf_dir))
+    if before:
+        lines = lines.where(F.col("written") < F.lit(before).cast("timestamp_ntz"))
+    return lines.drop("written")
+
+
+def _derive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     e, u, v, ts, kind = _event()
     time = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS")
     head = F.concat(time, F.lit("+0000 SiteId: "), (u % 5 + 101).cast("string"), F.lit("  INFO 26 "))
@@ -96,11 +126,9 @@ def log_lines(spark: SparkSession, sf_dir: str, before: str | None = None) -> Da
         .when(kind == "signup", signup)
         .otherwise(broken)
     )
-    source = events(spark, sf_dir)
-    if before:
-        source = source.where(ts < F.lit(before).cast("timestamp_ntz"))
-    return source.select(
+    return events(spark, sf_dir).select(
         e.alias("ord"),
+        ts.alias("written"),
         F.concat(F.lit("keypool_"), F.date_format(ts, "yyyyMMdd"), F.lit(".log")).alias("log_file"),
         value.alias("value"),
     )
@@ -253,6 +281,10 @@ def _damaged(section: Column, index: int) -> Column:
 
 def package_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """file_name, ord, document: one JSON package per event."""
+    return _landed(spark, sf_dir, "packages", lambda: _derive_documents(spark, sf_dir))
+
+
+def _derive_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     e, u, *_ = _event()
     sections = {
         "environment": assemble.nested(assemble.ENVIRONMENT_COLUMNS, environment_values().__getitem__),

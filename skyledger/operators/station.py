@@ -224,17 +224,17 @@ def first_seen_passes(summaries: DataFrame) -> DataFrame:
 def linked_alerts(occurrences: DataFrame, passes: DataFrame) -> DataFrame:
     """Alert occurrences whose pass was known when they arrived, or that name none.
 
-    `passes` is (pass_id, first_ord), one row per pass, and grows with the data, so no
+    `passes` is (pass_id, first_ord), one row per pass. It grows with the data, so no
     broadcast is asked for: AQE broadcasts it if it has measured it as small, and else
     sorts, merges and cuts the partitions of a hot pass into pieces. Alerts without a
-    pass skip the join.
+    pass are spread over all tasks by a made-up name; they stay whatever it meets.
     """
-    named = occurrences.where(F.col("related_pass_id").isNotNull())
-    known = named.join(
-        passes.select(F.col("pass_id").alias("related_pass_id"), FIRST_ORD), "related_pass_id"
-    )
-    kept = known.where(F.col(DELIVERY) >= F.col(FIRST_ORD)).select(*occurrences.columns)
-    return kept.unionByName(occurrences.where(F.col("related_pass_id").isNull()))
+    name, own = "_pass", F.col("related_pass_id")
+    spread = F.coalesce(own, F.xxhash64("ord").cast("string"))
+    first = passes.select(F.col("pass_id").alias(name), FIRST_ORD)
+    joined = occurrences.withColumn(name, spread).join(first, name, "left")
+    kept = joined.where(own.isNull() | (F.col(DELIVERY) >= F.col(FIRST_ORD)))
+    return kept.select(*occurrences.columns)
 
 
 def alerts(

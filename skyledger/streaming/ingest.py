@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,6 +76,14 @@ def keypool_table(warehouse: Warehouse, spark: SparkSession, table: str) -> Data
 # ---------------------------------------------------------------- station
 
 
+def in_parallel(*writes: Callable[[], object]) -> None:
+    """Run independent writes side by side, so that small ones fill the cluster; the
+    first failure is raised when all have ended."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        for future in [pool.submit(inheritable_thread_target(write)) for write in writes]:
+            future.result()
+
+
 def _without_stored_sections(
     settled: DataFrame, deliveries: DataFrame, ledger: DataFrame | None, batch_id: int
 ) -> DataFrame:
@@ -107,11 +119,15 @@ def store_package_batch(warehouse: Warehouse, packages: DataFrame, batch_id: int
     fresh = warehouse.write(
         _without_stored_sections(settled, deliveries, ledger, batch_id), "settled_packages", batch_id
     )
-    warehouse.write_by_day(station.environment_rows(fresh), "ogs_environment_data", batch_id, "timestamp")
-    warehouse.write_by_day(station.link_rows(fresh), "ogs_link_data", batch_id, "timestamp")
-    warehouse.write(station.summary_rows(fresh), "ogs_pass_summary", batch_id)
-    warehouse.write(station.alert_rows(fresh), "ogs_alerts", batch_id)
-    warehouse.write(station.schedule_rows(fresh), "ogs_pass_schedule", batch_id)
+    in_parallel(
+        lambda: warehouse.write_by_day(
+            station.environment_rows(fresh), "ogs_environment_data", batch_id, "timestamp"
+        ),
+        lambda: warehouse.write_by_day(station.link_rows(fresh), "ogs_link_data", batch_id, "timestamp"),
+        lambda: warehouse.write(station.summary_rows(fresh), "ogs_pass_summary", batch_id),
+        lambda: warehouse.write(station.alert_rows(fresh), "ogs_alerts", batch_id),
+        lambda: warehouse.write(station.schedule_rows(fresh), "ogs_pass_schedule", batch_id),
+    )
     marked = station.package_ledger(fresh).withColumn(
         PACKAGE_DAY, F.to_date(package_time(F.col("package_timestamp")))
     )

@@ -50,9 +50,10 @@ def differences(spark_frame, connection, sql: str) -> list[str]:
     for name in left_columns:
         if same.get(spark_types[name], spark_types[name]) != types[name]:
             found.append(f"type of {name}: {spark_types[name]} != {types[name]}")
-    missing = [row for row in left if row not in set(right)][:2]
-    extra = [row for row in right if row not in set(left)][:2]
     if left != right:
+        left_rows, right_rows = set(left), set(right)
+        missing = [row for row in left if row not in right_rows][:2]
+        extra = [row for row in right if row not in left_rows][:2]
         found.append(f"only spark {missing} only sql {extra}")
     return found
 
