@@ -476,11 +476,11 @@ def _stream_packages(spark: SparkSession, sf_dir: str) -> Warehouse:
     root = scratch_folder(spark, "stream")
     documents = stand_ins.package_documents(spark, sf_dir)
     # Both deliveries of a package land in one file, as files may be taken in any order.
-    documents.repartition(4, F.floor(F.col("ord") / 2)).write.parquet(f"{root}/landing")
+    documents.repartition(16, F.floor(F.col("ord") / 2)).write.parquet(f"{root}/landing")
     warehouse = Warehouse(f"{root}/tables")
     stream = (
         spark.readStream.schema(documents.schema)
-        .option("maxFilesPerTrigger", 2)
+        .option("maxFilesPerTrigger", 8)
         .parquet(f"{root}/landing")
     )
     start_ingest(

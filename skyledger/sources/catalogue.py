@@ -2,24 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.sources.logs import LOG_GLOB
 from skyledger.sources.packages import PACKAGE_GLOB, is_package_name
 
 
+def _base_name(path: Column) -> Column:
+    return F.element_at(F.split(path, "/"), -1)
+
+
 def list_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    """filename, size and modification time; the contents are never read."""
+    """filename, size and modification time; the contents are never read.
+
+    A scan passes over files of size 0, so the names come from the file index, which the
+    driver holds for any read; such a file has size 0 and no modification time here.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    names = spark.createDataFrame([(name,) for name in files.inputFiles()], "path string")
+    scanned = files.select(
+        _base_name(F.col("path")).alias("filename"),
+        F.col("length").alias("size"),
+        F.col("modificationTime").alias("modified"),
+    )
     return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .load(path)
-        .select(
-            F.element_at(F.split("path", "/"), -1).alias("filename"),
-            F.col("length").alias("size"),
-            F.col("modificationTime").alias("modified"),
-        )
+        names.select(_base_name(F.col("path")).alias("filename"))
+        .join(scanned, "filename", "left")
+        .select("filename", F.coalesce("size", F.lit(0)).alias("size"), "modified")
     )
 
 

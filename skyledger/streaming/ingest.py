@@ -76,11 +76,11 @@ def keypool_table(warehouse: Warehouse, spark: SparkSession, table: str) -> Data
 # ---------------------------------------------------------------- station
 
 
-def in_parallel(*writes: Callable[[], object]) -> None:
+def in_parallel(spark: SparkSession, *writes: Callable[[], object]) -> None:
     """Run independent writes side by side, so that small ones fill the cluster; the
     first failure is raised when all have ended."""
     with ThreadPoolExecutor(len(writes)) as pool:
-        for future in [pool.submit(inheritable_thread_target(write)) for write in writes]:
+        for future in [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]:
             future.result()
 
 
@@ -120,6 +120,7 @@ def store_package_batch(warehouse: Warehouse, packages: DataFrame, batch_id: int
         _without_stored_sections(settled, deliveries, ledger, batch_id), "settled_packages", batch_id
     )
     in_parallel(
+        spark,
         lambda: warehouse.write_by_day(
             station.environment_rows(fresh), "ogs_environment_data", batch_id, "timestamp"
         ),
