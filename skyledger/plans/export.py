@@ -24,8 +24,10 @@ def export_csv(rows: DataFrame, path: str) -> None:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read an export back under its schema."""
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+    """Read an export back under its schema. Quoted text may hold line ends, so a part is
+    read as a whole; the parts of an export are what its reading is spread over."""
+    reader = spark.read.schema(schema).option("header", True).option("escape", '"')
+    return reader.option("multiLine", True).csv(path)
 
 
 def dump(tables: dict[str, DataFrame], path: str, schema: bool = True, data: bool = True) -> None:

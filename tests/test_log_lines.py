@@ -1,6 +1,5 @@
 import datetime as dt
 
-import pytest
 from samples import COUNT, IDENTITY, LATENCY, PREFIX, SYNC, at, created
 
 from skyledger.operators import keypool
@@ -32,24 +31,20 @@ def test_latency_count_and_controller(spark):
     assert (sync.log_type, sync.local_site_id, sync.remote_site_id) == ("CONTROLLER_SYNC", 101, 102)
 
 
-@pytest.mark.parametrize("line", ["Invalid log line", "InvalidTimestamp SiteId: 101"])
-def test_short_line_is_no_entry(spark, line):
-    row = one(spark, line)
-    assert row.log_type is None and row.reject_reason == "too_few_tokens"
+def test_short_line_is_no_entry(spark):
+    rows = parse(spark, ["Invalid log line", "InvalidTimestamp SiteId: 101"]).collect()
+    assert [(r.log_type, r.reject_reason) for r in rows] == [(None, "too_few_tokens")] * 2
 
 
-@pytest.mark.parametrize(
-    "line",
-    [
+def test_unknown(spark):
+    lines = [
         "2024-01-01T10:00:00.000000+0000 SiteId: 101  INFO Unknown event",
         "This is an invalid log line that should be skipped",
         PREFIX + "createkey sequence number 3 and more",
         PREFIX + "createKey without the other words",
-    ],
-)
-def test_unknown(spark, line):
-    row = one(spark, line)
-    assert (row.log_type, row.reject_reason) == ("UNKNOWN", "unknown")
+    ]
+    rows = parse(spark, lines).collect()
+    assert [(r.log_type, r.reject_reason) for r in rows] == [("UNKNOWN", "unknown")] * len(lines)
 
 
 def test_first_kind_wins(spark):
@@ -57,41 +52,37 @@ def test_first_kind_wins(spark):
     assert row.log_type == "KEY_CREATION" and row.latency_ms is None
 
 
-@pytest.mark.parametrize(
-    "line",
-    [
+def test_missing_fields(spark):
+    lines = [
         PREFIX + "METRIC_KEY_SYNC_LATENCY MS=fast",
         PREFIX + "METRIC_RECEIVED_PUBLIC_KEY_COUNT BITS=12800",
         created(identity="550e8400"),
         created(pool="OTHER"),
         created(source="x"),
-    ],
-)
-def test_missing_fields(spark, line):
-    assert one(spark, line).reject_reason == "missing_fields"
-
-
-@pytest.mark.parametrize(
-    "time, expected",
-    [
-        ("2024-01-15T10:30:45.123+0000", dt.datetime(2024, 1, 15, 10, 30, 45, 123000)),
-        ("2024-01-15T10:30:45.123456", dt.datetime(2024, 1, 15, 10, 30, 45, 123456)),
-        ("2024-1-5T1:3:4.5+0200", dt.datetime(2024, 1, 5, 1, 3, 4, 500000)),
-        ("2024-01-15T10:30:45+0000", None),
-        ("2024-01-15T10:30:45.1234567+0000", None),
-        ("2024-01-15T10:30:45.123Z", None),
-        ("2024-01-15T10:30:45.123-0500", None),
-        ("2024-02-30T10:30:45.123+0000", None),
-        ("2024-01-15T24:30:45.123+0000", None),
-        ("2024-01-15T10:30:60.123+0000", None),
-        ("0000-01-15T10:30:45.123+0000", None),
-        ("24-01-15T10:30:45.123+0000", None),
-    ],
-)
-def test_log_time(spark, time, expected):
-    row = one(spark, at(time))
-    assert row.timestamp == expected
-    assert row.reject_reason == (None if expected else "bad_timestamp")
+    ]
+    assert [r.reject_reason for r in parse(spark, lines).collect()] == ["missing_fields"] * len(lines)
+
+
+TIMES = {
+    "2024-01-15T10:30:45.123+0000": dt.datetime(2024, 1, 15, 10, 30, 45, 123000),
+    "2024-01-15T10:30:45.123456": dt.datetime(2024, 1, 15, 10, 30, 45, 123456),
+    "2024-1-5T1:3:4.5+0200": dt.datetime(2024, 1, 5, 1, 3, 4, 500000),
+    "2024-01-15T10:30:45+0000": None,
+    "2024-01-15T10:30:45.1234567+0000": None,
+    "2024-01-15T10:30:45.123Z": None,
+    "2024-01-15T10:30:45.123-0500": None,
+    "2024-02-30T10:30:45.123+0000": None,
+    "2024-01-15T24:30:45.123+0000": None,
+    "2024-01-15T10:30:60.123+0000": None,
+    "0000-01-15T10:30:45.123+0000": None,
+    "24-01-15T10:30:45.123+0000": None,
+}
+
+
+def test_log_time(spark):
+    rows = parse(spark, [at(time) for time in TIMES]).collect()
+    found = {r.time_text: (r.timestamp, r.reject_reason) for r in rows}
+    assert found == {t: (moment, None if moment else "bad_timestamp") for t, moment in TIMES.items()}
 
 
 def test_number_out_of_range(spark):
@@ -103,12 +94,12 @@ def test_number_out_of_range(spark):
 BLANKS = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in "\n\r"]
 
 
-@pytest.mark.parametrize("blank", BLANKS)
-def test_blanks_as_in_python(spark, blank):
-    line = f"{blank}{LATENCY.replace(' ', blank)}{blank}"
-    row = one(spark, line)
-    assert row.raw_line == line.strip()
-    assert (row.time_text, row.site_id) == (line.split()[0], line.split()[2])
+def test_blanks_as_in_python(spark):
+    lines = [f"{blank}{LATENCY.replace(' ', blank)}{blank}" for blank in BLANKS]
+    assert len(lines) > 25
+    for row, line in zip(parse(spark, lines).orderBy("ord").collect(), lines, strict=True):
+        assert row.raw_line == line.strip()
+        assert (row.time_text, row.site_id) == (line.split()[0], line.split()[2])
 
 
 def test_zero_width_space_is_no_blank(spark):

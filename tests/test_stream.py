@@ -1,0 +1,218 @@
+import datetime as dt
+import json
+from dataclasses import replace
+
+import pytest
+from samples import COUNT, LATENCY, SUMMARY, SYNC, ALERT, alerts, created, package, write_packages
+
+from skyledger.config import default_settings
+from skyledger.operators import station
+from skyledger.schemas import UPSERT_KEYS, UPSERT_REPLACES
+from skyledger.streaming import ingest, service
+from skyledger.streaming.service import IngestService, progress
+
+
+def write_log(folder, name, lines):
+    folder.mkdir(parents=True, exist_ok=True)
+    part = folder / f".{name}.part"
+    part.write_text("".join(f"{line}\n" for line in lines))
+    part.rename(folder / name)
+
+
+@pytest.fixture()
+def deployment(spark, tmp_path):
+    settings = default_settings(str(tmp_path))
+    logs, packages = tmp_path / "landing" / "logs", tmp_path / "landing" / "packages"
+    logs.mkdir(parents=True)
+    packages.mkdir(parents=True)
+    return settings, logs, packages
+
+
+def run(spark, settings):
+    running = IngestService(spark, settings)
+    running.run_available()
+    assert running.failures == {}
+    return running
+
+
+def rows(frame):
+    return sorted([tuple(r) for r in frame.collect()], key=repr)
+
+
+def test_log_pipeline_takes_each_file_once(spark, deployment):
+    settings, logs, _ = deployment
+    write_log(logs, "keypool_1.log", [created(sequence=1), LATENCY, COUNT, SYNC, "x", ""])
+    first = run(spark, settings)
+    assert progress(first.queries["keypool"])["batches"] == 1
+    write_log(logs, "keypool_2.log", [created(sequence=2, source=105), LATENCY])
+    run(spark, settings)
+    again = run(spark, settings)
+    assert progress(again.queries["keypool"])["rows"] == 0
+    table = lambda name: ingest.keypool_table(again.warehouse, spark, name)
+    (key,) = table("key_creations").collect()
+    assert (key.sequence_number, key.source_site_id, key.log_file) == (2, 101, "keypool_1.log")
+    assert table("sync_latency_metrics").count() == 2
+    assert table("key_count_metrics").count() == 1 and table("controller_syncs").count() == 1
+    ledger = {r.filename: r for r in table("processed_files").collect()}
+    assert (ledger["keypool_1.log"].total_lines, ledger["keypool_1.log"].key_creations_count) == (5, 1)
+    assert ledger["keypool_2.log"].file_size == (logs / "keypool_2.log").stat().st_size
+    entries = ingest.stored_entries(again.warehouse, spark)
+    assert [r.raw_line for r in entries.where("reject_reason is not null").collect()] == ["x"]
+    assert entries.where("reject_reason is null and raw_line is not null").count() == 0
+
+
+def summary(**changes):
+    return json.loads(json.dumps(SUMMARY)) | changes
+
+
+def deliver(packages):
+    write_packages(
+        packages,
+        [
+            package(0, link=None, alerts=alerts(ALERT, ALERT | {"alert_id": "early", "related_pass_id": "pass-2"})),
+            package(1, summary=summary(notes="second", end_time="2025-11-19T10:50:00Z")),
+        ],
+    )
+
+
+def station_state(spark, warehouse):
+    table = lambda name: ingest.station_table(warehouse, spark, name)
+    return {
+        name: rows(table(name).select(*columns))
+        for name, columns in {
+            "ogs_environment_data": ["ord", "timestamp", "ogs_id"],
+            "ogs_link_data": ["ord", "timestamp", "qber"],
+            "ogs_pass_summary": ["pass_id", "end_time", "notes"],
+            "ogs_alerts": ["alert_id", "related_pass_id"],
+            "ogs_pass_schedule": ["pass_id", "generated_at"],
+        }.items()
+    }
+
+
+def test_package_pipeline(spark, deployment):
+    settings, _, packages = deployment
+    deliver(packages)
+    first = run(spark, settings)
+    before = station_state(spark, first.warehouse)
+    assert len(before["ogs_environment_data"]) == 2 and len(before["ogs_link_data"]) == 1
+    assert before["ogs_pass_summary"] == [("pass-1", dt.datetime(2025, 11, 19, 10, 50), "first")]
+    assert before["ogs_alerts"] == [("a-1", "pass-1")]
+    # A second run finds nothing new.
+    assert station_state(spark, run(spark, settings).warehouse) == before
+    # Package 0 comes again, now whole, and in a later batch; an alert's pass has come meanwhile.
+    write_packages(packages, [package(0), package(2, summary=summary(pass_id="pass-2"),
+                   alerts=alerts(ALERT | {"alert_id": "early", "related_pass_id": "pass-2"}))], start=5)
+    again = run(spark, settings)
+    after = station_state(spark, again.warehouse)
+    assert len(after["ogs_environment_data"]) == 3 and len(after["ogs_link_data"]) == 3
+    assert after["ogs_alerts"] == [("a-1", "pass-1"), ("early", "pass-2")]
+    ledger = {r.package_timestamp[17:19]: r for r in ingest.package_ledger(again.warehouse, spark).collect()}
+    assert ledger["00"].deliveries == 2 and ledger["00"].link_done
+    # environment, summary and two alerts at first, the link later
+    assert ledger["00"].records_inserted == 5
+    status = station.package_status(again.warehouse.read(spark, "package_deliveries"))
+    assert status.where("not package_ok").count() == 1
+
+
+def test_streamed_tables_equal_batch_tables(spark, deployment, tmp_path):
+    settings, _, packages = deployment
+    docs = [
+        package(i // 2, summary=summary(pass_id=f"pass-{i % 3}", notes=str(i)),
+                alerts=alerts(ALERT | {"alert_id": f"a{i % 4}", "related_pass_id": f"pass-{i % 5}"}))
+        for i in range(12)
+    ]
+    for start in range(0, 12, 4):
+        write_packages(packages, docs[start : start + 4], start)
+        streamed = run(spark, settings).warehouse
+    from skyledger.sources.packages import read_packages
+
+    settled = station.settle(read_packages(spark, str(packages)))
+    summaries = station.summary_rows(settled)
+    passes = station.first_seen_passes(summaries)
+    state = station_state(spark, streamed)
+    assert state["ogs_pass_summary"] == rows(station.pass_summary(summaries).select("pass_id", "end_time", "notes"))
+    assert state["ogs_alerts"] == rows(
+        station.alerts(station.alert_rows(settled), passes).select("alert_id", "related_pass_id")
+    )
+    assert state["ogs_environment_data"] == rows(station.environment_rows(settled).select("ord", "timestamp", "ogs_id"))
+
+
+def test_a_failed_batch_is_replayed_without_doubles(spark, deployment, monkeypatch):
+    settings, logs, packages = deployment
+    deliver(packages)
+    write_log(logs, "keypool_1.log", [LATENCY])
+    calls = []
+    original = ingest.station.package_ledger
+
+    def failing(settled):
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("executor lost")
+        return original(settled)
+
+    monkeypatch.setattr(ingest.station, "package_ledger", failing)
+    monkeypatch.setattr(service, "PAUSE_SECONDS", 0)
+    running = run(spark, settings)
+    assert len(calls) == 2
+    state = station_state(spark, running.warehouse)
+    assert len(state["ogs_environment_data"]) == 2 and len(state["ogs_link_data"]) == 1
+    # The other pipeline was not held up.
+    assert ingest.keypool_table(running.warehouse, spark, "sync_latency_metrics").count() == 1
+
+
+def test_one_failing_pipeline_leaves_the_other(spark, deployment, monkeypatch):
+    settings, logs, packages = deployment
+    deliver(packages)
+    write_log(logs, "keypool_1.log", [LATENCY])
+
+    def broken(settled):
+        raise RuntimeError("always")
+
+    monkeypatch.setattr(ingest.station, "settle", broken)
+    monkeypatch.setattr(service, "PAUSE_SECONDS", 0)
+    running = IngestService(spark, settings)
+    running.run_available(attempts=2)
+    assert set(running.failures) == {"station"}
+    assert ingest.keypool_table(running.warehouse, spark, "sync_latency_metrics").count() == 1
+
+
+def test_disabled_pipeline_does_not_run(spark, deployment):
+    settings, logs, packages = deployment
+    deliver(packages)
+    write_log(logs, "keypool_1.log", [LATENCY])
+    off = replace(settings, station=replace(settings.station, enabled=False))
+    running = run(spark, off)
+    assert set(running.queries) == {"keypool"}
+    assert ingest.station_table(running.warehouse, spark, "ogs_environment_data") is None
+
+
+def test_continuous_run_picks_up_new_files(spark, deployment):
+    settings, logs, _ = deployment
+    fast = replace(settings, keypool=replace(settings.keypool, interval="1 second"),
+                   station=replace(settings.station, enabled=False))
+    running = IngestService(spark, fast)
+    running.start()
+    try:
+        write_log(logs, "keypool_1.log", [LATENCY])
+        running.queries["keypool"].processAllAvailable()
+        write_log(logs, "keypool_2.log", [LATENCY, LATENCY])
+        running.queries["keypool"].processAllAvailable()
+    finally:
+        running.stop()
+    assert ingest.keypool_table(running.warehouse, spark, "sync_latency_metrics").count() == 3
+
+
+def test_snapshots_stand_in_for_their_batches(spark, deployment):
+    settings, _, packages = deployment
+    table = "ogs_pass_summary"
+    key, replaces = UPSERT_KEYS[table], UPSERT_REPLACES[table]
+    deliver(packages)
+    warehouse = run(spark, settings).warehouse
+    assert warehouse.compact(spark, table, key, replaces) == 0
+    write_packages(packages, [package(3, summary=summary(end_time="2025-11-19T11:00:00Z", notes="late"))], start=5)
+    warehouse = run(spark, settings).warehouse
+    folded = lambda: rows(warehouse.folded(spark, table, key, replaces).select("pass_id", "end_time", "notes"))
+    expected = [("pass-1", dt.datetime(2025, 11, 19, 11), "first")]
+    assert folded() == expected
+    assert warehouse.compact(spark, table, key, replaces) == 1
+    assert folded() == expected
