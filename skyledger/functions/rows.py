@@ -15,3 +15,16 @@ def computed_once(rows: DataFrame, **columns: Column) -> DataFrame:
     """
     entry = F.struct(*[column.alias(name) for name, column in columns.items()])
     return rows.select("*", F.inline(F.array(entry)))
+
+
+def spread_key(key: Column, row: Column) -> Column:
+    """A join key whose NULLs are spread over all tasks instead of meeting in one.
+
+    The made-up names may meet anything: the caller decides by the NULL of `key` itself.
+    """
+    return F.coalesce(key, F.xxhash64(row).cast("string"))
+
+
+def collated(key: Column, collation: str | None) -> Column:
+    """The key under a collation, or as it is."""
+    return F.collate(key, collation) if collation else key

@@ -14,14 +14,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.functions.rows import collated
+
 KEY, FIRST, LAST, FIRST_ORD, LAST_ORD, LOOSE = "_key", "_first", "_last", "first_ord", "last_ord", "_loose"
 
 
 def _group_key(key: str, order: Column, collation: str | None) -> list[Column]:
     """The key, and for a NULL key the row itself: rows without a key never meet."""
-    column = F.col(key)
-    if collation:
-        column = F.collate(column, collation)
+    column = collated(F.col(key), collation)
     return [column.alias(KEY), F.when(F.col(key).isNull(), order).alias(LOOSE)]
 
 

@@ -191,8 +191,9 @@ def key_creations(entries: DataFrame, collation: str | None = None) -> DataFrame
     )
 
 
-def file_stats(entries: DataFrame) -> DataFrame:
-    """Line counts per file. A line of unknown kind is neither counted nor an error."""
+def file_stats(entries: DataFrame, *others: Column) -> DataFrame:
+    """Line counts per file, and `others` in the same pass. A line of unknown kind is
+    neither counted nor an error."""
     reason = F.col("reject_reason")
     return entries.groupBy(F.col("log_file").alias("filename")).agg(
         F.count(F.lit(1)).alias("total_lines"),
@@ -202,6 +203,7 @@ def file_stats(entries: DataFrame) -> DataFrame:
         ],
         F.lit(0).cast("long").alias("unknown"),
         F.count_if(F.coalesce(reason.isin(STORE_ERRORS), F.lit(False))).alias("db_errors"),
+        *others,
     )
 
 

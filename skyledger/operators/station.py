@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyledger.functions.rows import collated, spread_key
 from skyledger.functions.times import package_time
 from skyledger.operators.fold import FIRST_ORD, fold
 from skyledger.schemas import (
@@ -216,12 +217,15 @@ def pass_schedule(rows: DataFrame, collation: str | None = None) -> DataFrame:
     return fold(rows, UPSERT_KEYS[table], "ord", UPSERT_REPLACES[table], collation)
 
 
-def first_seen_passes(summaries: DataFrame) -> DataFrame:
+def first_seen_passes(summaries: DataFrame, collation: str | None = None) -> DataFrame:
     """When each pass first entered the summary table. Narrow, one row per pass."""
-    return summaries.groupBy("pass_id").agg(F.min("ord").alias(FIRST_ORD))
+    key = collated(F.col("pass_id"), collation).alias("pass_id")
+    return summaries.groupBy(key).agg(F.min("ord").alias(FIRST_ORD))
 
 
-def linked_alerts(occurrences: DataFrame, passes: DataFrame) -> DataFrame:
+def linked_alerts(
+    occurrences: DataFrame, passes: DataFrame, collation: str | None = None
+) -> DataFrame:
     """Alert occurrences whose pass was known when they arrived, or that name none.
 
     `passes` is (pass_id, first_ord), one row per pass. It grows with the data, so no
@@ -230,9 +234,9 @@ def linked_alerts(occurrences: DataFrame, passes: DataFrame) -> DataFrame:
     pass are spread over all tasks by a made-up name; they stay whatever it meets.
     """
     name, own = "_pass", F.col("related_pass_id")
-    spread = F.coalesce(own, F.xxhash64("ord").cast("string"))
+    key = collated(spread_key(own, F.col("ord")), collation)
     first = passes.select(F.col("pass_id").alias(name), FIRST_ORD)
-    joined = occurrences.withColumn(name, spread).join(first, name, "left")
+    joined = occurrences.withColumn(name, key).join(first, name, "left")
     kept = joined.where(own.isNull() | (F.col(DELIVERY) >= F.col(FIRST_ORD)))
     return kept.select(*occurrences.columns)
 
@@ -241,7 +245,7 @@ def alerts(
     occurrences: DataFrame, passes: DataFrame, collation: str | None = None, with_order: bool = False
 ) -> DataFrame:
     """Stored alerts: the first linked occurrence per alert id; alerts without id all."""
-    linked = linked_alerts(occurrences, passes).drop(DELIVERY)
+    linked = linked_alerts(occurrences, passes, collation).drop(DELIVERY)
     return fold(linked, UPSERT_KEYS["ogs_alerts"], collation=collation, with_order=with_order)
 
 

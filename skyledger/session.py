@@ -23,7 +23,7 @@ SESSION_SETTINGS = {
 
 
 def build_session(app_name: str, master: str | None = None, **extra: str) -> SparkSession:
-    """A session with the pipeline's settings; `extra` keys use `_` for `.`-free names."""
+    """A session with the pipeline's settings, and `extra` ones over them."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -32,6 +32,18 @@ def build_session(app_name: str, master: str | None = None, **extra: str) -> Spa
     return builder.getOrCreate()
 
 
+def fit_shuffle(spark: SparkSession, input_bytes: int, target_bytes: int = 256 << 20) -> int:
+    """Size the shuffles of a job by its input, about `target_bytes` a partition.
+
+    AQE merges partitions that turn out small, so a generous count costs little; one that
+    is too low makes every task spill.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    partitions = max(cores, -(-input_bytes // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 

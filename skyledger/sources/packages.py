@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.rows import computed_once
 from skyledger.schemas import SECTIONS, package_schema
+from skyledger.sources.logs import read_log_lines
 
 PACKAGE_GLOB = "package_*.json"
 PACKAGE_NAME = r"\Apackage_.*\.json\z"
@@ -49,6 +50,15 @@ def read_packages(
     return _documents(spark.read, path, sections)
 
 
+def read_package_lines(
+    spark: SparkSession, path: str, sections: list[str] = tuple(SECTIONS)
+) -> DataFrame:
+    """Packages merged into larger files, one document a line, which a scan can split."""
+    lines = read_log_lines(spark, path, glob=None)
+    documents = lines.select(F.col("log_file").alias("file_name"), "ord", F.col("value").alias("document"))
+    return parse_documents(documents, sections)
+
+
 def stream_packages(spark: SparkSession, path: str, max_files: int) -> DataFrame:
     """Every package file as it lands."""
     return _documents(spark.readStream.option("maxFilesPerTrigger", max_files), path, SECTIONS)

@@ -9,6 +9,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.functions.rows import spread_key
 from skyledger.functions.times import package_time
 from skyledger.operators import keypool, station
 from skyledger.schemas import (
@@ -43,11 +44,10 @@ def store_log_batch(warehouse: Warehouse, lines: DataFrame, batch_id: int) -> No
         }
     )
     stored = warehouse.write(shaped, "log_entries", batch_id, "log_type", DAY)
-    sizes = stored.groupBy(F.col("log_file").alias("filename")).agg(
-        F.max("file_size").alias("file_size"), F.min("ord").alias("ord")
+    stats = keypool.file_stats(
+        stored, F.max("file_size").alias("file_size"), F.min("ord").alias("first_line")
     )
-    stats = keypool.file_stats(stored).join(sizes, "filename")
-    order = F.struct(F.lit(batch_id).alias(BATCH), "ord")
+    order = F.struct(F.lit(batch_id).alias(BATCH), "first_line")
     warehouse.write(
         keypool.ledger_rows(stats.withColumn("ord", order)), "processed_files", batch_id
     )
@@ -69,7 +69,7 @@ def keypool_table(warehouse: Warehouse, spark: SparkSession, table: str) -> Data
     if entries is None:
         return None
     if table == "key_creations":
-        return keypool.key_creations(entries)
+        return keypool.key_creations(entries, warehouse.collation)
     return keypool.stored_rows(entries, table).select("ord", *KEYPOOL_TABLES[table])
 
 
@@ -102,9 +102,13 @@ def _without_stored_sections(
         .groupBy("package_timestamp")
         .agg(*[F.bool_or(f"{s}_done").alias(f"{s}_done") for s in SECTIONS])
     )
-    joined = settled.join(known, "package_timestamp", "left")
+    own = F.col("package_timestamp")
+    joined = settled.withColumn("_name", spread_key(own, F.col("ord"))).join(
+        known.withColumnRenamed("package_timestamp", "_name"), "_name", "left"
+    )
     fresh = {
-        s: F.when(~F.coalesce(F.col(f"{s}_done"), F.lit(False)), F.col(s)) for s in SECTIONS
+        s: F.when(own.isNull() | ~F.coalesce(F.col(f"{s}_done"), F.lit(False)), F.col(s))
+        for s in SECTIONS
     }
     return joined.withColumns(fresh).select(*settled.columns)
 
@@ -155,8 +159,10 @@ def station_table(warehouse: Warehouse, spark: SparkSession, table: str) -> Data
     if rows is None:
         return None
     if table == "ogs_alerts":
-        passes = station.first_seen_passes(warehouse.read(spark, "ogs_pass_summary"))
-        return station.alerts(rows.drop(BATCH), passes, with_order=True)
+        passes = station.first_seen_passes(
+            warehouse.read(spark, "ogs_pass_summary"), warehouse.collation
+        )
+        return station.alerts(rows.drop(BATCH), passes, warehouse.collation, with_order=True)
     if table in UPSERT_KEYS:
         return warehouse.folded(spark, table, UPSERT_KEYS[table], UPSERT_REPLACES[table], with_order=True)
     return rows.drop(BATCH)

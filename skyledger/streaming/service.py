@@ -65,7 +65,7 @@ class IngestService:
 
     @property
     def warehouse(self) -> Warehouse:
-        return Warehouse(self.settings.warehouse)
+        return Warehouse(self.settings.warehouse, self.settings.collation)
 
     def _start(self, name: str, continuous: bool) -> StreamingQuery:
         pipeline = getattr(self.settings, name)

@@ -20,9 +20,10 @@ BATCH = "batch"
 
 @dataclass(frozen=True)
 class Warehouse:
-    """The folder that holds all tables."""
+    """The folder that holds all tables, and the collation of their string keys."""
 
     root: str
+    collation: str | None = None
 
     def folder(self, table: str, batch_id: int | None = None) -> str:
         base = f"{self.root}/{table}"
@@ -68,10 +69,12 @@ class Warehouse:
         if rows is None:
             return None
         if snapshot is None:
-            return fold_state(_plain(rows), key, replaces=replaces)
+            return fold_state(_plain(rows), key, replaces=replaces, collation=self.collation)
         held, covered = snapshot
         newer = rows.where(F.col(BATCH) > covered)
-        return merge_states(held, fold_state(_plain(newer), key, replaces=replaces))
+        return merge_states(
+            held, fold_state(_plain(newer), key, replaces=replaces, collation=self.collation)
+        )
 
     def folded(
         self, spark: SparkSession, table: str, key: str, replaces: list[str], with_order: bool = False

@@ -4,9 +4,10 @@ import pytest
 from samples import LATENCY, created, package, write_packages
 
 from skyledger.operators import keypool, station
+from skyledger.session import fit_shuffle
 from skyledger.sources import catalogue
 from skyledger.sources.logs import read_log_lines
-from skyledger.sources.packages import read_packages
+from skyledger.sources.packages import read_package_lines, read_packages
 
 
 def write_log(folder, name, lines, end="\n"):
@@ -101,3 +102,20 @@ def test_sections_not_asked_for_are_not_parsed(spark, landing):
     packages = read_packages(spark, landing, ["link"])
     assert "environment" not in packages.columns
     assert station.link_rows(station.settle(packages)).count() == 3
+
+
+def test_packages_one_a_line(spark, tmp_path):
+    merged = "".join(json.dumps(package(i)) + "\n" for i in range(50))
+    (tmp_path / "merged.txt").write_text(merged)
+    packages = read_package_lines(spark, str(tmp_path))
+    assert [r.logs.total_fetches for r in packages.orderBy("ord").collect()] == list(range(50))
+    assert station.environment_rows(station.settle(packages)).count() == 50
+
+
+def test_shuffles_are_sized_by_the_input(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert fit_shuffle(spark, 1000) == spark.sparkContext.defaultParallelism
+        assert fit_shuffle(spark, 100 << 40) == 409600
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

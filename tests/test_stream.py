@@ -216,3 +216,15 @@ def test_snapshots_stand_in_for_their_batches(spark, deployment):
     assert folded() == expected
     assert warehouse.compact(spark, table, key, replaces) == 1
     assert folded() == expected
+
+
+def test_collated_keys(spark, deployment):
+    settings, _, packages = deployment
+    write_packages(packages, [package(0), package(1, summary=summary(pass_id="PASS-1 ", notes="other"),
+                   alerts=alerts(ALERT, ALERT | {"alert_id": "A-1 "}, ALERT | {"alert_id": "b", "related_pass_id": "Pass-1"}))])
+    warehouse = run(spark, replace(settings, collation="UNICODE_CI_RTRIM")).warehouse
+    table = "ogs_pass_summary"
+    assert warehouse.compact(spark, table, UPSERT_KEYS[table], UPSERT_REPLACES[table]) == 0
+    state = station_state(spark, warehouse)
+    assert [(r[0], r[2]) for r in state[table]] == [("pass-1", "first")]
+    assert state["ogs_alerts"] == [("a-1", "pass-1"), ("b", "Pass-1")]
