@@ -12,15 +12,11 @@ from pyspark.sql import functions as F
 from skyledger.functions.rows import spread_key
 from skyledger.functions.times import package_time
 from skyledger.operators import keypool, station
-from skyledger.schemas import (
-    KEYPOOL_TABLES,
-    SECTIONS,
-    UPSERT_KEYS,
-    UPSERT_REPLACES,
-)
+from skyledger.operators.fold import FIRST_ORD, KEY
+from skyledger.schemas import SECTIONS, UPSERT_KEYS, UPSERT_REPLACES
 from skyledger.sources.logs import with_arrival_order
 from skyledger.sources.tables import DAY
-from skyledger.streaming.warehouse import BATCH, Warehouse
+from skyledger.streaming.warehouse import BATCH, KeyedTable, Warehouse, without_batch
 
 NO_ENTRY = "NO_ENTRY"
 PACKAGE_DAY = "package_date"
@@ -63,14 +59,10 @@ def stored_entries(warehouse: Warehouse, spark: SparkSession) -> DataFrame | Non
 
 def keypool_table(warehouse: Warehouse, spark: SparkSession, table: str) -> DataFrame | None:
     """One of the four fact tables, or the file ledger."""
-    if table == "processed_files":
-        return warehouse.folded(spark, table, UPSERT_KEYS[table], UPSERT_REPLACES[table])
+    if table in UPSERT_KEYS:
+        return warehouse.folded(spark, keyed_table(warehouse, spark, table))
     entries = stored_entries(warehouse, spark)
-    if entries is None:
-        return None
-    if table == "key_creations":
-        return keypool.key_creations(entries, warehouse.collation)
-    return keypool.stored_rows(entries, table).select("ord", *KEYPOOL_TABLES[table])
+    return None if entries is None else keypool.stored_rows(entries, table)
 
 
 # ---------------------------------------------------------------- station
@@ -155,14 +147,32 @@ def package_ledger(warehouse: Warehouse, spark: SparkSession) -> DataFrame | Non
 
 def station_table(warehouse: Warehouse, spark: SparkSession, table: str) -> DataFrame | None:
     """One of the station tables, keyed tables folded."""
+    if table in UPSERT_KEYS:
+        return warehouse.folded(spark, keyed_table(warehouse, spark, table), with_order=True)
     rows = warehouse.read(spark, table)
-    if rows is None:
-        return None
+    return None if rows is None else rows.drop(BATCH)
+
+
+# ---------------------------------------------------------------- keyed tables
+
+
+def keyed_table(warehouse: Warehouse, spark: SparkSession, table: str) -> KeyedTable:
+    """How a keyed table folds out of what the pipelines have stored."""
+    key, replaces = UPSERT_KEYS[table], UPSERT_REPLACES[table]
+    if table == "key_creations":
+        return KeyedTable(table, key, replaces, "log_entries", lambda rows: keypool.stored_rows(rows, table))
     if table == "ogs_alerts":
-        passes = station.first_seen_passes(
-            warehouse.read(spark, "ogs_pass_summary"), warehouse.collation
-        )
-        return station.alerts(rows.drop(BATCH), passes, warehouse.collation, with_order=True)
-    if table in UPSERT_KEYS:
-        return warehouse.folded(spark, table, UPSERT_KEYS[table], UPSERT_REPLACES[table], with_order=True)
-    return rows.drop(BATCH)
+
+        def linked(rows: DataFrame) -> DataFrame:
+            state = warehouse.state(spark, keyed_table(warehouse, spark, "ogs_pass_summary"))
+            passes = state.select(F.col(KEY).alias("pass_id"), FIRST_ORD)
+            known = station.linked_alerts(without_batch(rows), passes, warehouse.collation)
+            return known.drop(station.DELIVERY)
+
+        return KeyedTable(table, key, replaces, table, linked)
+    return KeyedTable(table, key, replaces, table)
+
+
+def compact(warehouse: Warehouse, spark: SparkSession) -> dict[str, int | None]:
+    """Snapshot every keyed table; gives the newest batch each covers."""
+    return {name: warehouse.compact(spark, keyed_table(warehouse, spark, name)) for name in UPSERT_KEYS}

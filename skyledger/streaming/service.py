@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from skyledger.config import Settings
 from skyledger.sources.logs import stream_log_lines
 from skyledger.sources.packages import stream_packages
-from skyledger.streaming.ingest import store_log_batch, store_package_batch
+from skyledger.streaming.ingest import compact, store_log_batch, store_package_batch
 from skyledger.streaming.warehouse import Warehouse
 
 # Attempts after a failure and the pause between them.
@@ -110,6 +110,10 @@ class IngestService:
                         time.sleep(PAUSE_SECONDS)
                         self.queries[name] = self._start(name, continuous=False)
 
+    def compact(self) -> dict[str, int | None]:
+        """Snapshot the keyed tables; may run beside the pipelines."""
+        return compact(self.warehouse, self.spark)
+
     def stop(self) -> None:
         for query in self.queries.values():
             query.stop()

@@ -6,6 +6,7 @@ so a replayed batch replaces its own output and nothing else.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -13,11 +14,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators.fold import fold_result, fold_state, merge_states
-from skyledger.sources.tables import write_by_day
+from skyledger.sources.tables import DAY, write_by_day
 
 BATCH = "batch"
 
 
+def without_batch(rows: DataFrame) -> DataFrame:
+    return rows.drop(BATCH, DAY)
+
+
+@dataclass(frozen=True)
+class KeyedTable:
+    """A table with one row per key: the stored rows it folds, and how."""
+
+    name: str
+    key: str
+    replaces: list[str]
+    source: str
+    prepare: Callable[[DataFrame], DataFrame] = without_batch
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """The folder that holds all tables, and the collation of their string keys."""
@@ -62,37 +78,48 @@ class Warehouse:
         covered = snapshots.agg(F.max("covers")).first()[0]
         return snapshots.where(F.col("covers") == covered).drop("covers"), covered
 
-    def state(self, spark: SparkSession, table: str, key: str, replaces: list[str]) -> DataFrame | None:
-        """Fold state of a table: its newest snapshot merged with the batches after it."""
-        rows = self.read(spark, table)
-        snapshot = self._latest_snapshot(spark, table)
+    def state(
+        self, spark: SparkSession, table: KeyedTable, upto: int | None = None
+    ) -> DataFrame | None:
+        """Fold state of a table: its newest snapshot merged with the batches after it, all
+        of them or those up to a given one."""
+        rows = self.read(spark, table.source)
         if rows is None:
             return None
+        if upto is not None:
+            rows = rows.where(F.col(BATCH) <= upto)
+        snapshot = self._latest_snapshot(spark, table.name)
         if snapshot is None:
-            return fold_state(_plain(rows), key, replaces=replaces, collation=self.collation)
+            return self._fold(rows, table)
         held, covered = snapshot
-        newer = rows.where(F.col(BATCH) > covered)
-        return merge_states(
-            held, fold_state(_plain(newer), key, replaces=replaces, collation=self.collation)
+        return merge_states(held, self._fold(rows.where(F.col(BATCH) > covered), table))
+
+    def _fold(self, rows: DataFrame, table: KeyedTable) -> DataFrame:
+        return fold_state(
+            table.prepare(rows), table.key, replaces=table.replaces, collation=self.collation
         )
 
-    def folded(
-        self, spark: SparkSession, table: str, key: str, replaces: list[str], with_order: bool = False
-    ) -> DataFrame | None:
+    def folded(self, spark: SparkSession, table: KeyedTable, with_order: bool = False) -> DataFrame | None:
         """A keyed table: one row per key."""
-        state = self.state(spark, table, key, replaces)
+        state = self.state(spark, table)
         return None if state is None else fold_result(state, with_order)
 
-    def compact(self, spark: SparkSession, table: str, key: str, replaces: list[str]) -> int | None:
-        """Write a snapshot that covers every batch so far; readers fold only what is newer."""
-        rows = self.read(spark, table)
+    def compact(self, spark: SparkSession, table: KeyedTable) -> int | None:
+        """Write a snapshot of every finished batch; readers fold only what is newer.
+
+        The newest batch may still be being written, so it is left out: batches run one
+        after the other, and one that has a successor is whole. Gives the newest batch
+        covered, None when there is nothing to cover.
+        """
+        rows = self.read(spark, table.source)
         if rows is None:
             return None
         newest = rows.agg(F.max(BATCH)).first()[0]
-        state = self.state(spark, table, key, replaces)
-        state.write.mode("overwrite").parquet(f"{self._snapshot_folder(table)}/covers={newest}")
-        return newest
-
-
-def _plain(rows: DataFrame) -> DataFrame:
-    return rows.drop(BATCH, "event_date")
+        finished = rows.where(F.col(BATCH) < newest).agg(F.max(BATCH)).first()[0]
+        if finished is None:
+            return None
+        held = self._latest_snapshot(spark, table.name)
+        if held is None or held[1] < finished:
+            path = f"{self._snapshot_folder(table.name)}/covers={finished}"
+            self.state(spark, table, upto=finished).write.mode("overwrite").parquet(path)
+        return finished

@@ -7,7 +7,7 @@ from samples import COUNT, LATENCY, SUMMARY, SYNC, ALERT, alerts, created, packa
 
 from skyledger.config import default_settings
 from skyledger.operators import station
-from skyledger.schemas import UPSERT_KEYS, UPSERT_REPLACES
+from skyledger.schemas import UPSERT_KEYS
 from skyledger.streaming import ingest, service
 from skyledger.streaming.service import IngestService, progress
 
@@ -203,28 +203,38 @@ def test_continuous_run_picks_up_new_files(spark, deployment):
 
 
 def test_snapshots_stand_in_for_their_batches(spark, deployment):
-    settings, _, packages = deployment
-    table = "ogs_pass_summary"
-    key, replaces = UPSERT_KEYS[table], UPSERT_REPLACES[table]
+    settings, logs, packages = deployment
     deliver(packages)
-    warehouse = run(spark, settings).warehouse
-    assert warehouse.compact(spark, table, key, replaces) == 0
-    write_packages(packages, [package(3, summary=summary(end_time="2025-11-19T11:00:00Z", notes="late"))], start=5)
-    warehouse = run(spark, settings).warehouse
-    folded = lambda: rows(warehouse.folded(spark, table, key, replaces).select("pass_id", "end_time", "notes"))
-    expected = [("pass-1", dt.datetime(2025, 11, 19, 11), "first")]
-    assert folded() == expected
-    assert warehouse.compact(spark, table, key, replaces) == 1
-    assert folded() == expected
+    write_log(logs, "keypool_1.log", [created(sequence=1)])
+    running = run(spark, settings)
+    # The newest batch is never covered: it might still be being written.
+    assert set(running.compact().values()) == {None}
+    for batch in (1, 2):
+        write_log(logs, f"keypool_{batch + 1}.log", [created(sequence=batch + 1, source=105)])
+        late = summary(end_time=f"2025-11-19T11:0{batch}:00Z", notes="late")
+        again = alerts(ALERT | {"description": "again"}, ALERT | {"alert_id": f"new-{batch}"})
+        write_packages(packages, [package(3 + batch, summary=late, alerts=again)], start=5 + batch)
+        running = run(spark, settings)
+        for _ in range(2):
+            state = station_state(spark, running.warehouse)
+            assert state["ogs_pass_summary"] == [("pass-1", dt.datetime(2025, 11, 19, 11, batch), "first")]
+            assert len(state["ogs_alerts"]) == 1 + batch
+            stored = ingest.station_table(running.warehouse, spark, "ogs_alerts")
+            assert stored.where("description = 'again'").count() == 0
+            (key,) = ingest.keypool_table(running.warehouse, spark, "key_creations").collect()
+            assert (key.sequence_number, key.source_site_id) == (batch + 1, 101)
+            assert ingest.keypool_table(running.warehouse, spark, "processed_files").count() == batch + 1
+            assert running.compact() == {name: batch - 1 for name in UPSERT_KEYS}
 
 
 def test_collated_keys(spark, deployment):
     settings, _, packages = deployment
     write_packages(packages, [package(0), package(1, summary=summary(pass_id="PASS-1 ", notes="other"),
                    alerts=alerts(ALERT, ALERT | {"alert_id": "A-1 "}, ALERT | {"alert_id": "b", "related_pass_id": "Pass-1"}))])
-    warehouse = run(spark, replace(settings, collation="UNICODE_CI_RTRIM")).warehouse
-    table = "ogs_pass_summary"
-    assert warehouse.compact(spark, table, UPSERT_KEYS[table], UPSERT_REPLACES[table]) == 0
-    state = station_state(spark, warehouse)
-    assert [(r[0], r[2]) for r in state[table]] == [("pass-1", "first")]
+    running = run(spark, replace(settings, collation="UNICODE_CI_RTRIM"))
+    write_packages(packages, [package(2, summary=summary(pass_id="pass-1"))], start=5)
+    running = run(spark, replace(settings, collation="UNICODE_CI_RTRIM"))
+    assert running.compact()["ogs_pass_summary"] == 0
+    state = station_state(spark, running.warehouse)
+    assert [(r[0], r[2]) for r in state["ogs_pass_summary"]] == [("pass-1", "first")]
     assert state["ogs_alerts"] == [("a-1", "pass-1"), ("b", "Pass-1")]
