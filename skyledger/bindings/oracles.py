@@ -389,6 +389,9 @@ def oracle_sql() -> dict[str, str]:
             "FROM sizes s LEFT JOIN stats USING (filename)"
         ),
         "key_creation_upsert": creations,
+        "log_catalogue": _log(
+            "SELECT filename, file_size AS size, '/logs/' || filename AS download_url FROM sizes ORDER BY 1"
+        ),
         "log_file_scan": creations,
         "stream_log_ingest": creations,
         "file_ledger_upsert": _two_runs(

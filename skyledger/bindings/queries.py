@@ -436,6 +436,13 @@ def day_table_scan(spark, sf_dir):
     return views.latest_link(read_table(spark, path))
 
 
+@query
+def log_catalogue(spark, sf_dir):
+    """The log files on disk with their sizes."""
+    path = _write_log_files(spark, sf_dir)
+    return catalogue.log_catalogue(spark, path, folder="log_file").drop("modified")
+
+
 @query
 def log_file_scan(spark, sf_dir):
     """Latency per day from log files on disk, numbered in file order."""

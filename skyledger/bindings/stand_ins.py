@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from skyledger.functions.rows import computed_once
 from skyledger.operators import assemble
@@ -33,21 +34,22 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(read_table(spark, f"{sf_dir}/events.parquet"), "event_id")
 
 
-_LANDED: dict[tuple[str, str, str], str] = {}
+_LANDED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 def _landed(spark: SparkSession, sf_dir: str, name: str, derive: Callable[[], DataFrame]) -> DataFrame:
     """The derived rows from the shared folder, written on first use."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key in _LANDED:
+        path, schema = _LANDED[key]
         try:
-            return read_table(spark, _LANDED[key])
+            return spark.read.schema(schema).parquet(path)
         except AnalysisException:  # the folder is gone: derive anew
             pass
-    path = scratch_folder(spark, f"landing-{name}")
-    derive().write.parquet(path)
-    _LANDED[key] = path
-    return read_table(spark, path)
+    path, rows = scratch_folder(spark, f"landing-{name}"), derive()
+    rows.write.parquet(path)
+    _LANDED[key] = path, rows.schema
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def _choose(selector: Column, *values) -> Column:

@@ -33,15 +33,20 @@ def list_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
     )
 
 
-def log_catalogue(spark: SparkSession, path: str) -> DataFrame:
-    """All log files by name, with the address under which each is read."""
-    return (
-        list_files(spark, path, LOG_GLOB)
-        .withColumn("download_url", F.concat(F.lit("/logs/"), "filename"))
-        .orderBy("filename")
+def list_folders(spark: SparkSession, path: str, folder: str) -> DataFrame:
+    """The same for files that are folders of parts, named by a partition column."""
+    parts = spark.read.format("binaryFile").load(path)
+    return parts.groupBy(F.col(folder).alias("filename")).agg(
+        F.sum("length").alias("size"), F.max("modificationTime").alias("modified")
     )
 
 
+def log_catalogue(spark: SparkSession, path: str, folder: str | None = None) -> DataFrame:
+    """All log files by name, with the address under which each is read."""
+    files = list_folders(spark, path, folder) if folder else list_files(spark, path, LOG_GLOB)
+    return files.withColumn("download_url", F.concat(F.lit("/logs/"), "filename")).orderBy("filename")
+
+
 def package_files(spark: SparkSession, path: str) -> DataFrame:
     return list_files(spark, path, PACKAGE_GLOB).orderBy("filename")
 
