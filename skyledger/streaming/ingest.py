@@ -76,21 +76,22 @@ def in_parallel(spark: SparkSession, *writes: Callable[[], object]) -> None:
             future.result()
 
 
-def _without_stored_sections(
+def without_stored_sections(
     settled: DataFrame, deliveries: DataFrame, ledger: DataFrame | None, batch_id: int
 ) -> DataFrame:
     """Empty the sections an earlier batch has stored for the same package.
 
-    The ledger is cut by package day, so the semi join prunes it to the days of the batch
-    before it is read, and only the batch's own packages leave the join. Days and names
-    come from two columns of the stored deliveries.
+    The ledger is cut by package day. The first and last day of the batch, read from one
+    column of the stored deliveries, prune its folders before it is scanned, and only the
+    batch's own packages leave the semi join.
     """
     if ledger is None:
         return settled
-    names = deliveries.select(PACKAGE_DAY, "package_timestamp").distinct()
+    day = F.col(PACKAGE_DAY)
+    first, last = (deliveries.agg(edge(PACKAGE_DAY)).scalar() for edge in (F.min, F.max))
     known = (
-        ledger.where(F.col(BATCH) != batch_id)
-        .join(names, [PACKAGE_DAY, "package_timestamp"], "left_semi")
+        ledger.where((F.col(BATCH) != batch_id) & (day.between(first, last) | day.isNull()))
+        .join(deliveries.select("package_timestamp"), "package_timestamp", "left_semi")
         .groupBy("package_timestamp")
         .agg(*[F.bool_or(f"{s}_done").alias(f"{s}_done") for s in SECTIONS])
     )
@@ -113,7 +114,7 @@ def store_package_batch(warehouse: Warehouse, packages: DataFrame, batch_id: int
     settled = station.settle(deliveries)
     ledger = warehouse.read(spark, "ogs_processed_packages")
     fresh = warehouse.write(
-        _without_stored_sections(settled, deliveries, ledger, batch_id), "settled_packages", batch_id
+        without_stored_sections(settled, deliveries, ledger, batch_id), "settled_packages", batch_id
     )
     in_parallel(
         spark,

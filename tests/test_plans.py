@@ -6,6 +6,7 @@ from samples import LATENCY, created
 
 import __spark_entry__ as entry_points
 from skyledger.operators import keypool, station
+from skyledger.sources.tables import write_by_day
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -101,3 +102,20 @@ def test_document_is_parsed_once(spark):
     text = plan(entry_points.queries()["env_flatten"](spark, SF_DIR))
     assert text.count("from_json") == 1
     assert "StructField(link," not in text
+
+
+def test_hot_day_is_written_by_several_tasks(spark, settings_of, tmp_path):
+    settings_of(spark__sql__adaptive__advisoryPartitionSizeInBytes="100KB")
+    moment = F.lit("2024-01-01").cast("timestamp_ntz")
+    rows = spark.range(60_000).repartition(16).select(
+        (moment + F.make_dt_interval(days=F.when(F.col("id") % 3 == 0, F.col("id") % 40).otherwise(7))).alias("timestamp"),
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+    )
+    path = str(tmp_path / "by-day")
+    write_by_day(rows, path)
+    files = {}
+    for name in spark.read.parquet(path).inputFiles():
+        day = name.split("event_date=")[1].split("/")[0]
+        files[day] = files.get(day, 0) + 1
+    assert files["2024-01-08"] > 4 and len(files) == 40
+    assert spark.read.parquet(path).count() == 60_000

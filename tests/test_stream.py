@@ -238,3 +238,33 @@ def test_collated_keys(spark, deployment):
     state = station_state(spark, running.warehouse)
     assert [(r[0], r[2]) for r in state["ogs_pass_summary"]] == [("pass-1", "first")]
     assert state["ogs_alerts"] == [("a-1", "pass-1"), ("b", "Pass-1")]
+
+
+def test_ledger_is_pruned_to_the_days_of_the_batch(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    def named(frame):
+        day = F.to_date(F.col("package_timestamp").try_cast("timestamp_ntz"))
+        return frame.withColumn("package_date", day)
+
+    stamps = [f"2025-11-{d:02d}T10:00:00" for d in range(1, 20)] + ["no time"]
+    flags = [F.lit(name != "link").alias(f"{name}_done") for name in ingest.SECTIONS]
+    stamped = spark.createDataFrame([(s,) for s in stamps], "package_timestamp string")
+    named(stamped.select("package_timestamp", *flags)).write.partitionBy("package_date").parquet(
+        str(tmp_path / "ledger" / "batch=0")
+    )
+    ledger = spark.read.parquet(str(tmp_path / "ledger"))
+    wanted = ["2025-11-03T10:00:00", "2025-11-30T10:00:00", "no time", None]
+    deliveries = named(
+        spark.createDataFrame([(s, i) for i, s in enumerate(wanted)], "package_timestamp string, ord int").select(
+            "package_timestamp", "ord", *[F.struct(F.lit(name)).alias(name) for name in ingest.SECTIONS]
+        )
+    )
+    deliveries.write.parquet(str(tmp_path / "deliveries"))
+    stored = spark.read.parquet(str(tmp_path / "deliveries"))
+    fresh = ingest.without_stored_sections(stored.drop("package_date"), stored, ledger, 1)
+    found = {r.package_timestamp: (r.environment is not None, r.link is not None) for r in fresh.collect()}
+    assert found == {wanted[0]: (False, True), wanted[1]: (True, True), "no time": (False, True), None: (True, True)}
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "PartitionFilters: [" in line and "package_date" in line]
+    assert any("ubquery" in line.split("PartitionFilters: [")[1].split("PushedFilters")[0] for line in scans)
