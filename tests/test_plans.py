@@ -66,7 +66,11 @@ def test_hot_pass_is_split_over_tasks(spark, settings_of):
 
 
 def test_alerts_without_pass_are_spread(spark, settings_of):
-    settings_of(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    settings_of(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__enabled="false",
+        spark__sql__shuffle__partitions="8",
+    )
     occurrences, passes = hot_alerts(spark)
     linked = station.linked_alerts(occurrences.withColumn("related_pass_id", F.lit(None).cast("string")), passes)
     sizes = [r["count"] for r in linked.groupBy(F.spark_partition_id()).count().collect()]
