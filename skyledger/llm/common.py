@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import skyledger
 from skyledger.session import scratch_folder
 
 RANGE_SAMPLE = 20_000
@@ -47,3 +53,19 @@ def range_index(column: Column, bounds: list[int]) -> Column:
         return F.lit(0)
     reached = F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= column.cast("long"))
     return F.coalesce(F.size(reached), F.lit(0))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per session, where it is not installed there.
+
+    The archive stays on the driver until it ends; Spark hands it to each executor.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_skyledger_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(skyledger.__file__))
+    folder = tempfile.mkdtemp(prefix="skyledger-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    shutil.copytree(package, f"{folder}/root/skyledger", ignore=shutil.ignore_patterns("__pycache__"))
+    context.addPyFile(shutil.make_archive(f"{folder}/skyledger", "zip", f"{folder}/root"))
+    context._skyledger_shipped = True

@@ -2,10 +2,27 @@
 
 from __future__ import annotations
 
-from skyledger.llm import mixing
+import functools
+
+from skyledger.llm import mixing, packing
+from skyledger.llm.common import ship_package
+
+
+def shipped(query):
+    @functools.wraps(query)
+    def run(spark, sf_dir):
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
 
 QUERIES = {
-    "op1_mix_sources": mixing.query,
+    name: shipped(query)
+    for name, query in {
+        "op1_mix_sources": mixing.query,
+        "op5_pack_windows": packing.query,
+    }.items()
 }
 
 SQL = {
