@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from skyledger.llm import mixing, packing
+from skyledger.llm import chat, mixing, packing, warc
 from skyledger.llm.common import ship_package
 
 
@@ -21,10 +21,13 @@ QUERIES = {
     name: shipped(query)
     for name, query in {
         "op1_mix_sources": mixing.query,
+        "op3_write_warc": warc.query,
         "op5_pack_windows": packing.query,
+        "op7_format_chat": chat.query,
     }.items()
 }
 
 SQL = {
     "op1_mix_sources": mixing.SQL,
+    "op3_write_warc": warc.SQL,
 }
