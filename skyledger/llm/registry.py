@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from skyledger.llm import chat, mixing, packing, warc
+from skyledger.llm import chat, embeddings, mixing, packing, warc
 from skyledger.llm.common import ship_package
 
 
@@ -23,6 +23,7 @@ QUERIES = {
         "op1_mix_sources": mixing.query,
         "op3_write_warc": warc.query,
         "op5_pack_windows": packing.query,
+        "op6_embedding_duplicates": embeddings.query,
         "op7_format_chat": chat.query,
     }.items()
 }
