@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from skyledger.llm import chat, embeddings, mixing, packing, warc
+from skyledger.llm import chat, embeddings, mixing, packing, quality, warc
 from skyledger.llm.common import ship_package
 
 
@@ -25,6 +25,7 @@ QUERIES = {
         "op5_pack_windows": packing.query,
         "op6_embedding_duplicates": embeddings.query,
         "op7_format_chat": chat.query,
+        "op8_score_quality": quality.query,
     }.items()
 }
 
