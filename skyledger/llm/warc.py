@@ -67,7 +67,7 @@ def _one_line(value: str | None) -> str | None:
     return "".join(c if c >= " " and c != "%" and c != "\x7f" else f"%{ord(c):02X}" for c in value).replace(" ", "%20")
 
 
-def record_bytes(page, url, kind: str, digest: str, size: int, refers_to, payload: bytes | None) -> bytes:
+def record_bytes(page, url, kind: str, digest: str, size: int, refers_to, payload: bytes) -> bytes:
     """One whole record. A revisit has the headers of its answer and no payload."""
     block = _head("HTTP/1.1 200 OK", [("Content-Type", "text/html; charset=utf-8"), ("Content-Length", size)])
     if kind == "response":
@@ -147,31 +147,21 @@ def _rows(schema: str, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=fields)
 
 
-def record_rows(pages: DataFrame, min_bytes: int = MIN_BYTES) -> tuple[DataFrame, DataFrame]:
-    """page_id, url, html -> the same with type and referred page; and the narrow stored rows.
+def revisits(narrow: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """page_id, size, digest -> page_id, digest, refers_to of the rows that repeat a payload.
 
-    Which payloads repeat is told from ids and digests alone. Only then do the texts move, by
-    digest; Spark splits a digest that many rows share. A revisit's text goes no further.
+    Told from ids and digests alone. Firsts are minima that combine on the map side, and
+    Spark splits a digest that many rows share.
     """
-    size, digest = F.octet_length("html").cast("long"), F.sha1("html")
-    narrow = stored(pages.select("page_id", size.alias("size"), digest.alias("digest")), "warc-digests")
     firsts = (
         narrow.where(F.col("size") >= min_bytes)
         .groupBy("digest")
-        .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
-        .where("n > 1")
+        .agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n"))
+        .where("n > 1 AND refers_to IS NOT NULL")
         .drop("n")
     )
-    again = F.col("first_id").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") > F.col("first_id")))
-    typed = (
-        pages.withColumn("size", size)
-        .withColumn("digest", digest)
-        .join(firsts, "digest", "left")
-        .withColumn("kind", F.when(again, "revisit").otherwise("response"))
-        .withColumn("refers_to", F.when(again, F.col("first_id")))
-        .withColumn("html", F.when(~again, F.col("html")))
-    )
-    return typed.select("page_id", "url", "kind", "digest", "size", "refers_to", "html"), narrow
+    again = F.col("page_id").isNull() | (F.col("page_id") > F.col("refers_to"))
+    return narrow.join(firsts, "digest").where(again).select("page_id", "digest", "refers_to").distinct()
 
 
 def write_archive(
@@ -199,29 +189,44 @@ def write_archive(
         F.col(url).alias("url"),
         F.coalesce(F.col(html), F.lit("")).alias("html"),
     )
-    records, narrow = record_rows(picked, min_bytes)
+    size, digest = F.octet_length("html").cast("long"), F.sha1("html")
+    narrow = stored(picked.select("page_id", size.alias("size"), digest.alias("digest")), "warc-digests")
     total = narrow.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("size")).first()["size"]
     shards = max(1, min(MAX_SHARDS, -(-total // shard_bytes)))
     bounds = range_bounds(narrow, "page_id", shards)
+    none = F.lit(None)
+    # A page moves once, to its shard. What it refers to comes as a row just before it.
+    told = revisits(narrow, min_bytes).select(
+        "page_id", "digest", F.lit(0).alias("order"), "refers_to", none.cast("string").alias("url"), none.cast("string").alias("html")
+    )
+    records = picked.select(
+        "page_id", digest.alias("digest"), F.lit(1).alias("order"), none.cast("long").alias("refers_to"), "url", "html"
+    )
     cut = (
-        records.withColumn("shard", range_index(F.col("page_id"), bounds))
+        records.unionByName(told)
+        .withColumn("shard", range_index(F.col("page_id"), bounds))
         .repartition(len(bounds) + 1, "shard")
-        .sortWithinPartitions("shard", "page_id", "digest", "url")
+        .sortWithinPartitions("shard", "page_id", "digest", "order", "url")
     )
 
     def write(batches):
         system, base = _file_system(folder)
-        file = None
+        file, known = None, None
         for batch in batches:
             for values in zip(*batch.columns, strict=True):
-                page, address, kind, digest, size, refers_to, text, shard = (v.as_py() for v in values)
+                page, digest, order, refers_to, address, text, shard = (v.as_py() for v in values)
+                if order == 0:
+                    known = (page, digest, refers_to)
+                    continue
                 if file and (file.shard != shard or file.bytes >= roll_bytes):
                     part = file.part + 1 if file.shard == shard else 0
                     yield _rows(MANIFEST, [file.close()])
                     file = _File(system, base, shard, part, level)
                 file = file or _File(system, base, shard, 0, level)
-                payload = None if text is None else text.encode()
-                file.write(record_bytes(page, address, kind, base32(digest), size, refers_to, payload))
+                payload = text.encode()
+                again = known is not None and known[:2] == (page, digest)
+                kind, first = ("revisit", known[2]) if again else ("response", None)
+                file.write(record_bytes(page, address, kind, base32(digest), len(payload), first, payload))
         if file:
             yield _rows(MANIFEST, [file.close()])
 
