@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from skyledger.llm import chat, embeddings, mixing, packing, quality, warc
+from skyledger.llm import chat, embeddings, minhash, mixing, packing, quality, warc
 from skyledger.llm.common import ship_package
 
 
@@ -26,6 +26,7 @@ QUERIES = {
         "op6_embedding_duplicates": embeddings.query,
         "op7_format_chat": chat.query,
         "op8_score_quality": quality.query,
+        "op10_near_duplicates": minhash.query,
     }.items()
 }
 
