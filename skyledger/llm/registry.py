@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from skyledger.llm import chat, embeddings, minhash, mixing, packing, quality, warc
+from skyledger.llm import chat, embeddings, minhash, mixing, packing, quality, secrets, warc
 from skyledger.llm.common import ship_package
 
 
@@ -22,6 +22,7 @@ QUERIES = {
     for name, query in {
         "op1_mix_sources": mixing.query,
         "op3_write_warc": warc.query,
+        "op4_scan_secrets": secrets.query,
         "op5_pack_windows": packing.query,
         "op6_embedding_duplicates": embeddings.query,
         "op7_format_chat": chat.query,
