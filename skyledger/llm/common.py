@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import json
 import os
 import shutil
 import tempfile
@@ -51,7 +52,7 @@ def range_index(column: Column, bounds: list[int]) -> Column:
     """How many bounds a key reaches: 0 to len(bounds); null counts as 0."""
     if not bounds:
         return F.lit(0)
-    reached = F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= column.cast("long"))
+    reached = F.filter(F.from_json(F.lit(json.dumps(bounds)), "array<bigint>"), lambda b: b <= column.cast("long"))
     return F.coalesce(F.size(reached), F.lit(0))
 
 

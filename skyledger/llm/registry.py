@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from skyledger.llm import chat, embeddings, minhash, mixing, packing, quality, secrets, warc
+from skyledger.llm import chat, embeddings, fingerprints, minhash, mixing, packing, quality, secrets, warc
 from skyledger.llm.common import ship_package
 
 
@@ -21,6 +21,7 @@ QUERIES = {
     name: shipped(query)
     for name, query in {
         "op1_mix_sources": mixing.query,
+        "op2_fingerprint_documents": fingerprints.query,
         "op3_write_warc": warc.query,
         "op4_scan_secrets": secrets.query,
         "op5_pack_windows": packing.query,
@@ -31,7 +32,9 @@ QUERIES = {
     }.items()
 }
 
+# The others cannot be put in SQL; tests hold them against brute force or a round trip.
 SQL = {
     "op1_mix_sources": mixing.SQL,
+    "op2_fingerprint_documents": fingerprints.SQL,
     "op3_write_warc": warc.SQL,
 }
