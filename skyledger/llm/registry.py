@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from skyledger.llm import chat, embeddings, fingerprints, minhash, mixing, packing, quality, secrets, warc
+from skyledger.llm import chat, embeddings, fingerprints, licenses, minhash, mixing, packing, quality, secrets, warc
 from skyledger.llm.common import ship_package
 
 
@@ -28,6 +28,7 @@ QUERIES = {
         "op6_embedding_duplicates": embeddings.query,
         "op7_format_chat": chat.query,
         "op8_score_quality": quality.query,
+        "op9_scan_licenses": licenses.query,
         "op10_near_duplicates": minhash.query,
     }.items()
 }
