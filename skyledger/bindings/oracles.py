@@ -252,8 +252,34 @@ alert_rows AS (
     'logged' AS action_taken, related_pass_id
   FROM alert_items
 ),
+offered AS (
+  SELECT * FROM (
+    SELECT *, min(e) FILTER (environment_ok AND link_ok AND summary_ok AND alerts_ok)
+      OVER (PARTITION BY package_timestamp) AS done_e FROM ranked
+  ) WHERE alerts_ok AND (done_e IS NULL OR e <= done_e)
+),
+offered_items AS (
+  SELECT e, 0 AS pos, date_trunc('second', ts) AS timestamp,
+    CASE WHEN e % 50 <> 3 THEN md5(CAST(e % 500 AS VARCHAR)) END AS alert_id,
+    CASE e % 5 WHEN 0 THEN 'unknown-' || CAST(e AS VARCHAR) WHEN 1 THEN NULL
+      WHEN 2 THEN 'pass-' || CAST(e // 20 + 1 AS VARCHAR) ELSE own_pass END AS related_pass_id, u, kind
+  FROM offered WHERE kind = 'error' AND (e % 50 <> 3 OR alerts_n = 1)
+  UNION ALL
+  SELECT e, 1, CASE WHEN e % 6 <> 0 THEN date_trunc('second', ts) END,
+    md5('second-' || CAST(e AS VARCHAR)), own_pass, u, kind
+  FROM offered WHERE kind = 'error' AND e % 3 = 0
+),
+offered_rows AS (
+  SELECT e, pos, timestamp, alert_id,
+    CASE WHEN e % 13 = 0 THEN 'info' WHEN e % 2 = 0 THEN 'warning' ELSE 'critical' END AS severity,
+    CAST(e % 2 + 2 AS INTEGER) AS severity_code,
+    CASE e % 3 WHEN 0 THEN 'weather_monitoring' WHEN 1 THEN 'link_tracking' ELSE 'dome_control' END AS component,
+    'SCU-0' || CAST(e % 3 + 1 AS VARCHAR) AS component_id, kind || ' ' || CAST(u AS VARCHAR) AS description,
+    'logged' AS action_taken, related_pass_id
+  FROM offered_items
+),
 linked AS (
-  SELECT a.* FROM alert_rows a WHERE a.timestamp IS NOT NULL AND (a.related_pass_id IS NULL
+  SELECT a.* FROM offered_rows a WHERE a.timestamp IS NOT NULL AND (a.related_pass_id IS NULL
     OR EXISTS (SELECT 1 FROM passes p WHERE p.pass_id = a.related_pass_id AND p.ord <= a.e))
 ),
 alerts AS (
@@ -320,6 +346,7 @@ _LEDGER_COLUMNS = (
     "f.controller_syncs AS controller_sync_count"
 )
 _NEWEST = "ORDER BY timestamp DESC, ord DESC"
+_AT = f"TIMESTAMP '{AS_OF}'"
 _SPAN = f"timestamp BETWEEN TIMESTAMP '{RANGE[0]}' AND TIMESTAMP '{RANGE[1]}'"
 
 
@@ -327,8 +354,8 @@ def _log(select: str, before: str | None = None) -> str:
     return f"WITH {_lines(before)}\n{select}"
 
 
-def _station(select: str) -> str:
-    return f"WITH {_PACKAGES}\n{select}"
+def _station(select: str, *more: str) -> str:
+    return "WITH " + ",\n".join([_PACKAGES, *more]) + f"\n{select}"
 
 
 def _renamed(before: str, suffix: str) -> str:
@@ -500,17 +527,20 @@ def oracle_sql() -> dict[str, str]:
         "latest_package": _station(f"{head} ORDER BY file_name DESC LIMIT 1"),
         "package_by_name": _station(f"{head} WHERE file_name = '{WANTED_PACKAGE}'"),
         "package_assemble": _station(
-            "SELECT 'package_20240131_000000.json' AS file_name, '2024-01-31T00:00:00Z' AS package_timestamp, "
-            "(SELECT collector_id FROM packages ORDER BY e DESC LIMIT 1) AS collector_id, "
+            f"SELECT 'package_20240116_000000.json' AS file_name, '2024-01-16T00:00:00Z' AS package_timestamp, "
+            f"(SELECT collector_id FROM packages WHERE e > 0 AND delivered <= {_AT} ORDER BY e DESC LIMIT 1) AS collector_id, "
             "strftime(en.timestamp, '%Y-%m-%dT%H:%M:%SZ') AS environment_time, en.temperature, en.dome_open, "
             "li.pass_id AS link_pass, li.qber, su.pass_id AS summary_pass, su.keys_distilled, "
-            "CAST((SELECT least(count(*), 10) FROM alerts) AS INTEGER) AS alert_count, "
-            "strftime(al.timestamp, '%Y-%m-%dT%H:%M:%SZ') AS alert_time, al.description AS alert_description, "
-            "sc.pass_id AS planned_pass "
-            f"FROM (SELECT * FROM environment {_NEWEST} LIMIT 1) en, (SELECT * FROM link {_NEWEST} LIMIT 1) li, "
-            "(SELECT * FROM summary ORDER BY end_time DESC, ord DESC LIMIT 1) su, "
-            "(SELECT * FROM alerts ORDER BY timestamp DESC, e DESC, pos DESC LIMIT 1) al, "
-            "(SELECT * FROM schedule_rows ORDER BY generated_at DESC, e DESC, pos DESC LIMIT 1) sc"
+            "CAST((SELECT count(*) FROM recent) AS INTEGER) AS alert_count, "
+            "(SELECT string_agg(strftime(timestamp, '%Y-%m-%dT%H:%M:%SZ') || ' ' || description, ';' "
+            "ORDER BY timestamp DESC, e DESC, pos DESC) FROM recent) AS alerts, "
+            "(SELECT string_agg(pass_id || ' ' || strftime(start_time, '%Y-%m-%dT%H:%M:%SZ'), ';' ORDER BY pos) "
+            "FROM schedule_rows WHERE e = (SELECT e FROM schedule_rows "
+            f"WHERE generated_at <= {_AT} ORDER BY generated_at DESC, e DESC LIMIT 1)) AS planned "
+            f"FROM (SELECT * FROM environment WHERE timestamp <= {_AT} {_NEWEST} LIMIT 1) en, "
+            f"(SELECT * FROM link WHERE timestamp <= {_AT} {_NEWEST} LIMIT 1) li, "
+            f"(SELECT * FROM summary WHERE end_time <= {_AT} ORDER BY end_time DESC, ord DESC LIMIT 1) su",
+            f"recent AS (SELECT * FROM alerts WHERE timestamp <= {_AT} ORDER BY timestamp DESC, e DESC, pos DESC LIMIT 10)",
         ),
         "table_stats": f"WITH {_lines()},\n{_PACKAGES}\n"
         + " UNION ALL ".join(

@@ -31,7 +31,7 @@ REGISTRY: dict[str, Query] = {}
 
 # Moments the queries refer to; all lie inside the events.
 LEDGER_CUT = "2024-01-16 12:00:00"
-AS_OF = "2024-01-31 00:00:00"
+AS_OF = "2024-01-16 00:00:00"
 RANGE = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
 WANTED_PACKAGE = "package_20240101_000500.json"
 
@@ -67,7 +67,7 @@ def _passes(spark: SparkSession, sf_dir: str, with_order: bool = False) -> DataF
 
 def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     passes = station.first_seen_passes(station.summary_rows(_settled(spark, sf_dir, "summary")))
-    occurrences = station.alert_rows(_settled(spark, sf_dir, "alerts"))
+    occurrences = station.offered_alerts(stand_ins.packages(spark, sf_dir, *station.CHECKED_SECTIONS))
     stored = station.alerts(occurrences, passes, with_order=True)
     return stored.withColumnRenamed("first_ord", "ord").drop("last_ord")
 
@@ -217,7 +217,7 @@ def collector_status(spark, sf_dir):
 
 @query
 def package_dedup(spark, sf_dir):
-    return _settled(spark, sf_dir).select(
+    return station.settled_order(stand_ins.packages(spark, sf_dir)).select(
         "package_timestamp",
         "file_name",
         "ord",
@@ -354,7 +354,7 @@ def package_assemble(spark, sf_dir):
         tables["schedule"], tables["collector"], AS_OF,
     )
     package = parse_documents(document.withColumn("ord", F.lit(0)))
-    newest_alert = F.col("alerts.alerts")[0]
+    alerts, plan = F.col("alerts.alerts"), F.col("schedule.scheduled_passes")
     return package.select(
         "file_name",
         "package_timestamp",
@@ -367,9 +367,8 @@ def package_assemble(spark, sf_dir):
         F.col("summary.pass_id").alias("summary_pass"),
         F.col("summary.key_distillation.keys_distilled").alias("keys_distilled"),
         F.col("alerts.count").alias("alert_count"),
-        newest_alert["timestamp"].alias("alert_time"),
-        newest_alert["description"].alias("alert_description"),
-        F.col("schedule.scheduled_passes")[0]["pass_id"].alias("planned_pass"),
+        F.array_join(F.transform(alerts, lambda a: F.concat_ws(" ", a["timestamp"], a["description"])), ";").alias("alerts"),
+        F.array_join(F.transform(plan, lambda p: F.concat_ws(" ", p["pass_id"], p["start_time"])), ";").alias("planned"),
     )
 
 
@@ -382,7 +381,7 @@ def _station_tables(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFra
     settled = read_table(spark, settled_path)
     summaries = station.summary_rows(settled)
     stored = station.alerts(
-        station.alert_rows(settled), station.first_seen_passes(summaries), with_order=True
+        station.offered_alerts(packages), station.first_seen_passes(summaries), with_order=True
     )
     tables = {
         "environment": station.environment_rows(settled),
@@ -482,8 +481,12 @@ def stream_log_ingest(spark, sf_dir):
 def _stream_packages(spark: SparkSession, sf_dir: str) -> Warehouse:
     root = scratch_folder(spark, "stream")
     documents = stand_ins.package_documents(spark, sf_dir)
-    # Both deliveries of a package land in one file, as files may be taken in any order.
-    documents.repartition(16, F.floor(F.col("ord") / 2)).write.parquet(f"{root}/landing")
+    # Two landings, one after the other; both deliveries of a package land in one file, as
+    # the files of a micro-batch may be taken in any order.
+    pair = F.floor(F.col("ord") / 2)
+    middle = documents.agg(F.floor(F.max(pair) / 2)).scalar()
+    for half in (documents.where(pair <= middle), documents.where(pair > middle)):
+        half.repartition(8, pair).write.mode("append").parquet(f"{root}/landing")
     warehouse = Warehouse(f"{root}/tables")
     stream = (
         spark.readStream.schema(documents.schema)

@@ -23,7 +23,7 @@ from skyledger.operators import assemble
 from skyledger.schemas import SECTIONS
 from skyledger.session import scratch_folder
 from skyledger.sources.packages import parse_documents
-from skyledger.sources.tables import read_table, spread
+from skyledger.sources.tables import read_table
 
 
 def _event() -> list[Column]:
@@ -31,15 +31,24 @@ def _event() -> list[Column]:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read_table(spark, f"{sf_dir}/events.parquet"), "event_id")
+    return read_table(spark, f"{sf_dir}/events.parquet").repartition("event_id")
 
 
-_LANDED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+def _version(spark: SparkSession, sf_dir: str) -> str:
+    """Which files the events lie in, and when they were written."""
+    meta = read_table(spark, f"{sf_dir}/events.parquet").select(
+        F.struct("_metadata.file_path", "_metadata.file_modification_time", "_metadata.file_size").alias("file")
+    )
+    files = meta.distinct().agg(F.count("*").alias("n"), F.sum(F.xxhash64("file").cast("decimal(38,0)")).alias("h"))
+    return str(tuple(files.first()))
+
+
+_LANDED: dict[tuple[str, str, str, str], tuple[str, StructType]] = {}
 
 
 def _landed(spark: SparkSession, sf_dir: str, name: str, derive: Callable[[], DataFrame]) -> DataFrame:
     """The derived rows from the shared folder, written on first use."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, name, _version(spark, sf_dir))
     if key in _LANDED:
         path, schema = _LANDED[key]
         try:

@@ -103,11 +103,32 @@ def package_document(
     return F.to_json(document, {"ignoreNullFields": "false"})
 
 
+def _upto(rows: DataFrame, moment: str, at: Column) -> DataFrame:
+    return rows.where(F.col(moment) <= at)
+
+
 def _newest(rows: DataFrame, moment: str, item: Column) -> Column:
     """The section of the newest row as a one-value subquery."""
     return rows.orderBy(F.desc(moment), F.desc("ord")).limit(1).select(item).scalar()
 
 
+def _newest_plan(schedule: DataFrame) -> Column:
+    """The schedule section of the newest plan, with all its passes in their order.
+
+    A plan is what one delivery brought; the passes of that one are gathered.
+    """
+    place = F.struct("generated_at", F.col("ord.delivery_ord").alias("delivery"))
+    newest = schedule.agg(F.max(place)).scalar()
+    passes = F.array_sort(F.collect_list(F.struct(F.col("ord.pos").alias("pos"), planned_pass().alias("planned"))))
+    gathered = schedule.where(place == newest).agg(
+        F.any_value("ogs_id").alias("ogs_id"),
+        F.max("generated_at").alias("generated_at"),
+        F.transform(passes, lambda p: p["planned"]).alias("passes"),
+    )
+    section = schedule_section(F.col("ogs_id"), F.col("generated_at"), F.col("passes"))
+    return gathered.where(F.size("passes") > 0).select(section).scalar()
+
+
 def snapshot(
     environment: DataFrame,
     link: DataFrame,
@@ -118,23 +139,23 @@ def snapshot(
     at,
     buffer: int = 10,
 ) -> DataFrame:
-    """The package a collector would write at time `at`: the newest row of each section,
-    the last `buffer` alerts and the newest plan. One row: file_name, document."""
+    """The package a collector would write at time `at`: the newest row of each section up
+    to then, the last `buffer` alerts and all passes of the newest plan. One row: file_name,
+    document."""
     spark = environment.sparkSession
     moment = F.lit(str(at)).cast("timestamp_ntz")
-    recent = stored_alerts.orderBy(F.desc("timestamp"), F.desc("ord")).limit(buffer)
+    recent = _upto(stored_alerts, "timestamp", moment).orderBy(F.desc("timestamp"), F.desc("ord")).limit(buffer)
     ordered = F.reverse(F.array_sort(F.collect_list(F.struct("timestamp", "ord", alert_item().alias("item")))))
     items = recent.agg(F.transform(ordered, lambda r: r["item"])).scalar()
-    plan = schedule_section(F.col("ogs_id"), F.col("generated_at"), F.array(planned_pass()))
     sections = {
-        "environment": _newest(environment, "timestamp", environment_section()),
-        "link": _newest(link, "timestamp", link_section()),
-        "summary": _newest(summaries, "end_time", summary_section()),
+        "environment": _newest(_upto(environment, "timestamp", moment), "timestamp", environment_section()),
+        "link": _newest(_upto(link, "timestamp", moment), "timestamp", link_section()),
+        "summary": _newest(_upto(summaries, "end_time", moment), "end_time", summary_section()),
         "alerts": alerts_section(items),
-        "schedule": _newest(schedule, "generated_at", plan),
+        "schedule": _newest_plan(_upto(schedule, "generated_at", moment)),
     }
     status = _newest(
-        collector,
+        _upto(collector, "last_fetch", moment),
         "last_fetch",
         F.struct("collector_id", "ogs_provider", "collector_status", "last_fetch", "total_fetches"),
     )

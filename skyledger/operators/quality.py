@@ -26,6 +26,20 @@ def outside_domain(column: str) -> Column:
     return F.coalesce(~F.col(column).isin(DOMAINS[column]), F.lit(False))
 
 
+def rejected_rows(rows: DataFrame, required: list[str], order: str = "ord") -> DataFrame:
+    """Rows of a table that lack a required value or hold one their domain does not know.
+
+    ord, missing (names of empty columns), outside (names of columns with a foreign value).
+    """
+    known = [c for c in DOMAINS if c in rows.columns]
+    missing = F.filter(F.array(*[F.when(F.col(c).isNull(), c) for c in required]), lambda c: c.isNotNull())
+    outside = F.filter(F.array(*[F.when(outside_domain(c), c) for c in known]), lambda c: c.isNotNull())
+    checked = rows.select(
+        order, missing.cast("array<string>").alias("missing"), outside.cast("array<string>").alias("outside")
+    )
+    return checked.where((F.size("missing") > 0) | (F.size("outside") > 0))
+
+
 def rejected_sections(packages: DataFrame) -> DataFrame:
     """Sections, alerts and planned passes that reach no table, one row each.
 

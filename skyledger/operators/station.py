@@ -95,6 +95,39 @@ def ingest_counters(packages: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- de-duplication
 
 
+def _package_key(order: Column) -> list[Column]:
+    """A package, and for a delivery without a package time the delivery itself."""
+    return [F.col("package_timestamp"), F.when(F.col("package_timestamp").isNull(), order).alias("_loose")]
+
+
+def settled_order(packages: DataFrame) -> DataFrame:
+    """One row per package_timestamp: the delivery each section is taken from.
+
+    Each section comes from its first storable delivery, so a repeated delivery adds nothing,
+    and a section that failed at first is taken from the delivery that has it; with none
+    storable, from the first. Deliveries without a package_timestamp cannot repeat and are all
+    kept. Flags and order numbers alone are folded, by plain minima, before anything is shuffled.
+    """
+    order = F.col("ord")
+    present = [s for s in SECTIONS if s in packages.columns]
+    chosen = [
+        F.coalesce(F.min(F.when(section_ok(s), order)), F.min(order)).alias(f"{s}_ord") for s in present
+    ]
+    head = F.min(F.struct(order, "file_name", "collector_id", "ogs_provider")).alias("_head")
+    grouped = packages.groupBy(*_package_key(order)).agg(
+        head, F.count(F.lit(1)).alias("deliveries"), *chosen
+    )
+    return grouped.select(
+        "package_timestamp",
+        "_head.file_name",
+        "_head.ord",
+        "_head.collector_id",
+        "_head.ogs_provider",
+        "deliveries",
+        *[f"{s}_ord" for s in present],
+    )
+
+
 def settle(packages: DataFrame) -> DataFrame:
     """One row per package_timestamp: each section from its first storable delivery.
 
@@ -123,15 +156,6 @@ def settle(packages: DataFrame) -> DataFrame:
     )
 
 
-def as_settled(packages: DataFrame) -> DataFrame:
-    """Packages known to be delivered once, in the shape of `settle` (no shuffle)."""
-    return packages.select(
-        "*",
-        F.lit(1).cast("long").alias("deliveries"),
-        *[F.col("ord").alias(f"{s}_ord") for s in SECTIONS if s in packages.columns],
-    )
-
-
 # ---------------------------------------------------------------- flattening
 
 
@@ -169,6 +193,47 @@ def alert_rows(settled: DataFrame) -> DataFrame:
     return _alert_items(settled).where(complete("ogs_alerts"))
 
 
+def offered_alerts(deliveries: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Alert occurrences of all deliveries that were processed.
+
+    A package is retried whole until one delivery of it is done, so each delivery up to that
+    one offers its alerts; repeats of an id fall away when alerts are stored. An alert without
+    an id cannot be told from its repeat and counts in the first delivery with alerts only.
+    `known` has package_timestamp, package_done and alerts_done of earlier batches.
+    """
+    order, every = F.col("ord"), F.lit(True)
+    for section in CHECKED_SECTIONS:
+        every = every & F.coalesce(section_ok(section), F.lit(False))
+    has_alerts = F.coalesce(section_ok("alerts"), F.lit(False))
+    told = deliveries.select(
+        *_package_key(order), "ord", every.alias("_ok"), has_alerts.alias("_has"), F.col("alerts")
+    )
+    key = ["package_timestamp", "_loose"]
+    firsts = told.groupBy(*key).agg(
+        F.min(F.when(F.col("_ok"), order)).alias("_done"),
+        F.min(F.when(F.col("_has"), order)).alias("_first"),
+    )
+    # NULL package times meet nothing here, and need not: each such delivery stands alone.
+    later = firsts.where("package_timestamp IS NOT NULL").drop("_loose")
+    joined = told.where("_has").join(later, "package_timestamp", "left")
+    if known is None:
+        joined = joined.withColumns({"package_done": F.lit(False), "alerts_done": F.lit(False)})
+    else:
+        joined = joined.join(known.select("package_timestamp", "package_done", "alerts_done"), "package_timestamp", "left")
+    no = F.lit(False)
+    offered = joined.where(
+        ~F.coalesce("package_done", no) & (F.col("_done").isNull() | (order <= F.col("_done")))
+    )
+    first = (F.coalesce(F.col("_first"), order) == order) & ~F.coalesce("alerts_done", no)
+    shaped = offered.select(F.col("ord").alias("alerts_ord"), "alerts", first.alias("_is_first"))
+    items = shaped.select(
+        F.col("alerts_ord").alias(DELIVERY), "_is_first", F.posexplode("alerts.alerts").alias("pos", "alert")
+    )
+    rows = items.select(DELIVERY, "_is_first", F.struct(DELIVERY, "pos").alias("ord"), *_flat("alert", ALERT_COLUMNS))
+    kept = rows.where(F.col("alert_id").isNotNull() | F.col("_is_first")).drop("_is_first")
+    return kept.where(complete("ogs_alerts"))
+
+
 def _schedule_items(settled: DataFrame) -> DataFrame:
     items = settled.select(
         F.col("schedule_ord").alias(DELIVERY),

@@ -9,12 +9,14 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
-# What the pipeline relies on. AQE splits skewed join and rebalance partitions and
-# turns a join into a broadcast only after it has measured the side.
+# What the pipeline relies on. AQE splits skewed join and rebalance partitions. No join is
+# planned as a broadcast from an estimate: AQE turns one into it after it has measured the side.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
@@ -32,18 +34,6 @@ def build_session(app_name: str, master: str | None = None, **extra: str) -> Spa
     return builder.getOrCreate()
 
 
-def fit_shuffle(spark: SparkSession, input_bytes: int, target_bytes: int = 256 << 20) -> int:
-    """Size the shuffles of a job by its input, about `target_bytes` a partition.
-
-    AQE merges partitions that turn out small, so a generous count costs little; one that
-    is too low makes every task spill.
-    """
-    cores = spark.sparkContext.defaultParallelism
-    partitions = max(cores, -(-input_bytes // target_bytes))
-    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
-    return partitions
-
-
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 

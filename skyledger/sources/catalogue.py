@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import fnmatch
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,28 +11,46 @@ from skyledger.sources.logs import LOG_GLOB
 from skyledger.sources.packages import PACKAGE_GLOB, is_package_name
 
 
-def _base_name(path: Column) -> Column:
-    return F.element_at(F.split(path, "/"), -1)
+LISTING = "path string, filename string, size long, modified timestamp"
+LISTED_AT_ONCE = 10_000
 
 
 def list_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    """filename, size and modification time; the contents are never read.
+    """path, filename, size and modification time of all files below `path`, empty ones too.
 
-    A scan passes over files of size 0, so the names come from the file index, which the
-    driver holds for any read; such a file has size 0 and no modification time here.
+    The contents are never read, and the names never pass through the driver: a task walks
+    the folder and hands its files on in pieces. `path` is the key: two folders may each have
+    a file of one name. Names that start with a dot or an underscore are not listed.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    names = spark.createDataFrame([(name,) for name in files.inputFiles()], "path string")
-    scanned = files.select(
-        _base_name(F.col("path")).alias("filename"),
-        F.col("length").alias("size"),
-        F.col("modificationTime").alias("modified"),
-    )
-    return (
-        names.select(_base_name(F.col("path")).alias("filename"))
-        .join(scanned, "filename", "left")
-        .select("filename", F.coalesce("size", F.lit(0)).alias("size"), "modified")
-    )
+
+    def walk(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        fields = pa.schema(
+            [("path", pa.string()), ("filename", pa.string()), ("size", pa.int64()), ("modified", pa.timestamp("us", "UTC"))]
+        )
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                system, base = fs.FileSystem.from_uri(folder)
+                found, waiting = [], [base]
+                while waiting:
+                    selector = fs.FileSelector(waiting.pop(), allow_not_found=True)
+                    for info in system.get_file_info(selector):
+                        if info.base_name[:1] in "._":
+                            continue
+                        if info.type == fs.FileType.Directory:
+                            waiting.append(info.path)
+                        elif fnmatch.fnmatchcase(info.base_name, glob):
+                            found.append((info.path, info.base_name, info.size, info.mtime))
+                    while len(found) >= LISTED_AT_ONCE or (found and not waiting):
+                        now, found = found[:LISTED_AT_ONCE], found[LISTED_AT_ONCE:]
+                        columns = zip(*now, strict=True)
+                        arrays = [pa.array(c, type=f.type) for c, f in zip(columns, fields, strict=True)]
+                        yield pa.RecordBatch.from_arrays(arrays, schema=fields)
+
+    folders = spark.range(1).select(F.lit(path).alias("path"))
+    return folders.mapInArrow(walk, LISTING)
 
 
 def list_folders(spark: SparkSession, path: str, folder: str) -> DataFrame:
@@ -44,11 +64,18 @@ def list_folders(spark: SparkSession, path: str, folder: str) -> DataFrame:
 def log_catalogue(spark: SparkSession, path: str, folder: str | None = None) -> DataFrame:
     """All log files by name, with the address under which each is read."""
     files = list_folders(spark, path, folder) if folder else list_files(spark, path, LOG_GLOB)
-    return files.withColumn("download_url", F.concat(F.lit("/logs/"), "filename")).orderBy("filename")
+    listed = files.withColumn("download_url", F.concat(F.lit("/logs/"), "filename"))
+    return listed.orderBy("filename", *[c for c in ("path",) if c in listed.columns])
 
 
 def package_files(spark: SparkSession, path: str) -> DataFrame:
-    return list_files(spark, path, PACKAGE_GLOB).orderBy("filename")
+    return list_files(spark, path, PACKAGE_GLOB).orderBy("filename", "path")
+
+
+def latest_package_file(spark: SparkSession, path: str) -> DataFrame:
+    """The file of the greatest package name, or no row; no document is read."""
+    files = list_files(spark, path, PACKAGE_GLOB).where(is_package_name(F.col("filename")))
+    return files.orderBy(F.desc("filename"), F.desc("path")).limit(1)
 
 
 def new_files(catalogue: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -78,12 +105,11 @@ def package_list(packages: DataFrame) -> DataFrame:
 
 
 def latest_package(packages: DataFrame) -> DataFrame:
-    """The package of the greatest file name, or no row."""
-    return (
-        packages.where(is_package_name(F.col("file_name")))
-        .orderBy(F.desc("file_name"), F.desc("ord"))
-        .limit(1)
-    )
+    """The package of the greatest file name, or no row. Names are compared first; only the
+    documents of the greatest go on."""
+    named = packages.where(is_package_name(F.col("file_name")))
+    greatest = named.agg(F.max("file_name")).scalar()
+    return named.where(F.col("file_name") == greatest).orderBy(F.desc("ord")).limit(1)
 
 
 def package_by_name(packages: DataFrame, name: str) -> DataFrame:

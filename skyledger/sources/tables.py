@@ -32,12 +32,3 @@ def write_by_day(rows: DataFrame, path: str, moment: str = "timestamp", mode: st
         .parquet(path)
     )
 
-
-def spread(rows: DataFrame, key: str) -> DataFrame:
-    """Rows of a small table over all cores, ahead of work that is heavy per row.
-
-    A table with at least one split per core is left as it is, so nothing large is ever
-    shuffled for this.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)

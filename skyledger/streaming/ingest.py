@@ -6,14 +6,14 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions.rows import spread_key
 from skyledger.functions.times import package_time
 from skyledger.operators import keypool, station
 from skyledger.operators.fold import FIRST_ORD, KEY
-from skyledger.schemas import SECTIONS, UPSERT_KEYS, UPSERT_REPLACES
+from skyledger.schemas import FILE_LEDGER_COLUMNS, SECTIONS, UPSERT_KEYS, UPSERT_REPLACES
 from skyledger.sources.logs import with_arrival_order
 from skyledger.sources.tables import DAY
 from skyledger.streaming.warehouse import BATCH, KeyedTable, Warehouse, without_batch
@@ -29,9 +29,13 @@ def store_log_batch(warehouse: Warehouse, lines: DataFrame, batch_id: int) -> No
     """Parse a batch of lines once and store it by event kind and day.
 
     No shuffle: each task writes what it has read. The four fact tables, the quarantine
-    and the statistics are all read from this one table, each from its own folders.
+    and the statistics are all read from this one table, each from its own folders. Files
+    that hold no line that counts are in the ledger too, with zeros; Spark hands a file of
+    no bytes to no batch, so those come with `mark_empty_files`.
     """
-    entries = keypool.parse_lines(with_arrival_order(lines))
+    ordered = with_arrival_order(lines)
+    arrived = ordered.withColumn("ord", arrival(batch_id, "ord.*"))
+    entries = keypool.parse_lines(arrived)
     shaped = entries.withColumns(
         {
             "raw_line": F.when(F.col("reject_reason").isNotNull(), F.col("raw_line")),
@@ -40,13 +44,31 @@ def store_log_batch(warehouse: Warehouse, lines: DataFrame, batch_id: int) -> No
         }
     )
     stored = warehouse.write(shaped, "log_entries", batch_id, "log_type", DAY)
-    stats = keypool.file_stats(
-        stored, F.max("file_size").alias("file_size"), F.min("ord").alias("first_line")
+    parts = (
+        arrived.groupBy(F.col("log_file").alias("filename"), F.col("ord.part").alias("part"))
+        .agg(F.max("file_size").alias("file_size"), F.min("ord").alias("ord"))
+        .groupBy("filename")
+        .agg(F.sum("file_size").alias("file_size"), F.min("ord").alias("ord"))
     )
-    order = F.struct(F.lit(batch_id).alias(BATCH), "first_line")
-    warehouse.write(
-        keypool.ledger_rows(stats.withColumn("ord", order)), "processed_files", batch_id
+    stats = keypool.file_stats_of_catalogue(parts, keypool.file_stats(stored))
+    warehouse.write(keypool.ledger_rows(stats), "processed_files", batch_id)
+
+
+def arrival(batch_id: int, *order: str) -> Column:
+    """Arrival order in a stream: by batch, then by the order within it."""
+    return F.struct(F.lit(batch_id).cast("long").alias("arrival"), *order)
+
+
+def mark_empty_files(warehouse: Warehouse, catalogue: DataFrame) -> DataFrame:
+    """Ledger rows with zeros of the files of size 0 in a catalogue; for `new_files`."""
+    empty = catalogue.where("size = 0").select(
+        "filename",
+        *[F.lit(0).cast("long").alias(c) for c in FILE_LEDGER_COLUMNS if c != "filename"],
     )
+    ledger = keypool_table(warehouse, catalogue.sparkSession, "processed_files")
+    if ledger is None:
+        return empty
+    return ledger.select(*FILE_LEDGER_COLUMNS).unionByName(empty.join(ledger, "filename", "left_anti"))
 
 
 def stored_entries(warehouse: Warehouse, spark: SparkSession) -> DataFrame | None:
@@ -76,6 +98,19 @@ def in_parallel(spark: SparkSession, *writes: Callable[[], object]) -> None:
             future.result()
 
 
+def known_packages(deliveries: DataFrame, ledger: DataFrame, batch_id: int) -> DataFrame:
+    """What earlier batches have stored of the packages of a batch, one row per package."""
+    day = F.col(PACKAGE_DAY)
+    first, last = (deliveries.agg(edge(PACKAGE_DAY)).scalar() for edge in (F.min, F.max))
+    flags = [c for c in ledger.columns if c.endswith("_done")]
+    return (
+        ledger.where((F.col(BATCH) != batch_id) & (day.between(first, last) | day.isNull()))
+        .join(deliveries.select("package_timestamp"), "package_timestamp", "left_semi")
+        .groupBy("package_timestamp")
+        .agg(*[F.bool_or(c).alias(c) for c in flags])
+    )
+
+
 def without_stored_sections(
     settled: DataFrame, deliveries: DataFrame, ledger: DataFrame | None, batch_id: int
 ) -> DataFrame:
@@ -87,14 +122,7 @@ def without_stored_sections(
     """
     if ledger is None:
         return settled
-    day = F.col(PACKAGE_DAY)
-    first, last = (deliveries.agg(edge(PACKAGE_DAY)).scalar() for edge in (F.min, F.max))
-    known = (
-        ledger.where((F.col(BATCH) != batch_id) & (day.between(first, last) | day.isNull()))
-        .join(deliveries.select("package_timestamp"), "package_timestamp", "left_semi")
-        .groupBy("package_timestamp")
-        .agg(*[F.bool_or(f"{s}_done").alias(f"{s}_done") for s in SECTIONS])
-    )
+    known = known_packages(deliveries, ledger, batch_id)
     own = F.col("package_timestamp")
     joined = settled.withColumn("_name", spread_key(own, F.col("ord"))).join(
         known.withColumnRenamed("package_timestamp", "_name"), "_name", "left"
@@ -109,7 +137,12 @@ def without_stored_sections(
 def store_package_batch(warehouse: Warehouse, packages: DataFrame, batch_id: int) -> None:
     """Store a batch of deliveries, then what is new in them, table by table."""
     spark = packages.sparkSession
-    dated = packages.withColumn(PACKAGE_DAY, F.to_date(package_time(F.col("package_timestamp"))))
+    dated = packages.withColumns(
+        {
+            PACKAGE_DAY: F.to_date(package_time(F.col("package_timestamp"))),
+            "ord": arrival(batch_id, F.col("ord").alias("delivery")),
+        }
+    )
     deliveries = warehouse.write(dated, "package_deliveries", batch_id)
     settled = station.settle(deliveries)
     ledger = warehouse.read(spark, "ogs_processed_packages")
@@ -123,16 +156,43 @@ def store_package_batch(warehouse: Warehouse, packages: DataFrame, batch_id: int
         ),
         lambda: warehouse.write_by_day(station.link_rows(fresh), "ogs_link_data", batch_id, "timestamp"),
         lambda: warehouse.write(station.summary_rows(fresh), "ogs_pass_summary", batch_id),
-        lambda: warehouse.write(station.alert_rows(fresh), "ogs_alerts", batch_id),
+        lambda: warehouse.write(
+            accepted_alerts(warehouse, deliveries, ledger, fresh, batch_id), "ogs_alerts", batch_id
+        ),
         lambda: warehouse.write(station.schedule_rows(fresh), "ogs_pass_schedule", batch_id),
     )
-    marked = station.package_ledger(fresh).withColumn(
-        PACKAGE_DAY, F.to_date(package_time(F.col("package_timestamp")))
+    done = (
+        station.package_status(deliveries)
+        .groupBy("package_timestamp")
+        .agg(F.bool_or(F.coalesce("package_ok", F.lit(False))).alias("package_done"))
+    )
+    marked = (
+        station.package_ledger(fresh)
+        .join(done, "package_timestamp")
+        .withColumn(PACKAGE_DAY, F.to_date(package_time(F.col("package_timestamp"))))
     )
     # The ledger comes last: a batch counts as done when everything else is written.
     warehouse.write(marked, "ogs_processed_packages", batch_id, PACKAGE_DAY)
 
 
+def accepted_alerts(
+    warehouse: Warehouse, deliveries: DataFrame, ledger: DataFrame | None, fresh: DataFrame, batch_id: int
+) -> DataFrame:
+    """The alerts of a batch whose pass is known on arrival, or that name none.
+
+    Decided once, when the batch is stored: a pass that comes later, in whatever file, does
+    not let in an alert that was refused, and compaction changes nothing.
+    """
+    spark = deliveries.sparkSession
+    known = None if ledger is None else known_packages(deliveries, ledger, batch_id)
+    passes = station.first_seen_passes(station.summary_rows(fresh), warehouse.collation)
+    earlier = warehouse.state(spark, keyed_table(warehouse, spark, "ogs_pass_summary"), upto=batch_id - 1)
+    if earlier is not None:
+        both = passes.unionByName(earlier.select(F.col(KEY).alias("pass_id"), FIRST_ORD))
+        passes = both.groupBy("pass_id").agg(F.min(FIRST_ORD).alias(FIRST_ORD))
+    return station.linked_alerts(station.offered_alerts(deliveries, known), passes, warehouse.collation)
+
+
 def package_ledger(warehouse: Warehouse, spark: SparkSession) -> DataFrame | None:
     """One row per package over all batches."""
     rows = warehouse.read(spark, "ogs_processed_packages")
@@ -163,14 +223,7 @@ def keyed_table(warehouse: Warehouse, spark: SparkSession, table: str) -> KeyedT
     if table == "key_creations":
         return KeyedTable(table, key, replaces, "log_entries", lambda rows: keypool.stored_rows(rows, table))
     if table == "ogs_alerts":
-
-        def linked(rows: DataFrame) -> DataFrame:
-            state = warehouse.state(spark, keyed_table(warehouse, spark, "ogs_pass_summary"))
-            passes = state.select(F.col(KEY).alias("pass_id"), FIRST_ORD)
-            known = station.linked_alerts(without_batch(rows), passes, warehouse.collation)
-            return known.drop(station.DELIVERY)
-
-        return KeyedTable(table, key, replaces, table, linked)
+        return KeyedTable(table, key, replaces, table, lambda rows: without_batch(rows).drop(station.DELIVERY))
     return KeyedTable(table, key, replaces, table)
 
 

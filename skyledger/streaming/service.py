@@ -32,16 +32,21 @@ def start_ingest(
     interval: str | None = None,
 ) -> StreamingQuery:
     """Start one pipeline. Without an interval it takes what is there and ends."""
-    # Each pipeline has its own pool, so a long batch of one does not hold up the other.
-    stream.sparkSession.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+    # Each pipeline has its own pool, so a long batch of one does not hold up the other. A
+    # query keeps the pool of the thread that started it; the caller's own stays as it was.
+    context = stream.sparkSession.sparkContext
+    pool = context.getLocalProperty("spark.scheduler.pool")
     writer = (
         stream.writeStream.queryName(name)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(lambda batch, batch_id: store(warehouse, batch, batch_id))
     )
-    if interval is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=interval).start()
+    trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
+    context.setLocalProperty("spark.scheduler.pool", name)
+    try:
+        return writer.trigger(**trigger).start()
+    finally:
+        context.setLocalProperty("spark.scheduler.pool", pool)
 
 
 def progress(query: StreamingQuery) -> dict:
@@ -62,6 +67,7 @@ class IngestService:
     settings: Settings
     queries: dict[str, StreamingQuery] = field(default_factory=dict)
     failures: dict[str, str] = field(default_factory=dict)
+    restarts: dict[str, int] = field(default_factory=dict)
 
     @property
     def warehouse(self) -> Warehouse:
@@ -94,6 +100,44 @@ class IngestService:
                 self.failures[name] = str(error)
         return self.queries
 
+    def supervise(self, until: Callable[[], bool], pause: float = 1.0, longest: float = 60.0) -> None:
+        """Keep the started pipelines running until `until` says so.
+
+        A pipeline that has failed, or could not start, is recorded and started again from its
+        checkpoint, which replays the failed batch. The pause before a restart doubles with
+        each failure in a row, up to `longest`; a finished batch ends the row. A pipeline that
+        was stopped on purpose stays stopped.
+        """
+        row = {name: 0 for name in (*self.queries, *self.failures)}
+        due = dict.fromkeys(row, 0.0)
+        seen = dict.fromkeys(row, -1)
+        while not until():
+            for name in row:
+                query = self.queries.get(name)
+                if query is not None and query.isActive:
+                    report = query.lastProgress
+                    if report and report["batchId"] > seen[name]:
+                        seen[name], row[name] = report["batchId"], 0
+                    continue
+                error = query.exception() if query is not None else None
+                if query is not None and error is None:
+                    continue
+                if error is not None and due[name] == 0.0:
+                    self.failures[name] = str(error)
+                    due[name] = time.monotonic() + min(longest, pause * 2 ** row[name])
+                    row[name] += 1
+                if time.monotonic() < due[name]:
+                    continue
+                try:
+                    self.queries[name] = self._start(name, continuous=True)
+                    self.restarts[name] = self.restarts.get(name, 0) + 1
+                    due[name] = 0.0
+                except Exception as failure:  # noqa: BLE001 - recorded, tried again
+                    self.failures[name] = str(failure)
+                    due[name] = time.monotonic() + min(longest, pause * 2 ** row[name])
+                    row[name] += 1
+            time.sleep(min(pause, 0.2))
+
     def run_available(self, attempts: int = ATTEMPTS) -> None:
         """Take in what has landed. A failed pipeline restarts from its checkpoint, which
         replays the failed batch; what it has already written is replaced."""

@@ -6,17 +6,21 @@ so a replayed batch replaces its own output and nothing else.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from skyledger.operators.fold import fold_result, fold_state, merge_states
 from skyledger.sources.tables import DAY, write_by_day
 
 BATCH = "batch"
+MANIFEST = "covers long, folder string, shape string"
 
 
 def without_batch(rows: DataFrame) -> DataFrame:
@@ -68,15 +72,38 @@ class Warehouse:
     def _snapshot_folder(self, table: str) -> str:
         return f"{self.root}/_snapshots/{table}"
 
+    def _manifest_folder(self, table: str) -> str:
+        return f"{self.root}/_manifests/{table}"
+
     def _latest_snapshot(self, spark: SparkSession, table: str) -> tuple[DataFrame, int] | None:
+        """The newest snapshot with a manifest, and the batch it covers.
+
+        What a snapshot covers and how it is shaped stand in its manifest, which is written
+        when the snapshot is whole: one without rows counts, one without a manifest does not.
+        """
         try:
-            snapshots = spark.read.parquet(self._snapshot_folder(table))
+            manifests = spark.read.schema(MANIFEST).parquet(self._manifest_folder(table))
+            newest = manifests.orderBy(F.desc("covers"), F.desc("folder")).first()
         except AnalysisException as error:
             if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return None
             raise
-        covered = snapshots.agg(F.max("covers")).first()[0]
-        return snapshots.where(F.col("covers") == covered).drop("covers"), covered
+        if newest is None:
+            return None
+        shape = StructType.fromJson(json.loads(newest["shape"]))
+        path = f"{self._snapshot_folder(table)}/{newest['folder']}"
+        return spark.read.schema(shape).parquet(path), newest["covers"]
+
+    def _publish(self, state: DataFrame, table: str, covers: int) -> None:
+        """Write a snapshot into a folder of its own, then its manifest."""
+        folder = f"covers-{covers}-{uuid.uuid4().hex}"
+        state.write.parquet(f"{self._snapshot_folder(table)}/{folder}")
+        line = state.sparkSession.range(1).select(
+            F.lit(covers).cast("long").alias("covers"),
+            F.lit(folder).alias("folder"),
+            F.lit(state.schema.json()).alias("shape"),
+        )
+        line.coalesce(1).write.mode("append").parquet(self._manifest_folder(table))
 
     def state(
         self, spark: SparkSession, table: KeyedTable, upto: int | None = None
@@ -120,6 +147,5 @@ class Warehouse:
             return None
         held = self._latest_snapshot(spark, table.name)
         if held is None or held[1] < finished:
-            path = f"{self._snapshot_folder(table.name)}/covers={finished}"
-            self.state(spark, table, upto=finished).write.mode("overwrite").parquet(path)
+            self._publish(self.state(spark, table, upto=finished), table.name, finished)
         return finished

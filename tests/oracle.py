@@ -34,13 +34,37 @@ def normalised(columns: list[str], rows) -> tuple[list[str], list[tuple]]:
     return [columns[i] for i in order], sorted(plain, key=repr)
 
 
+def is_ordered(sql: str) -> bool:
+    """Whether the statement itself, not a part of it, sorts its rows."""
+    depth, outer = 0, []
+    for character in sql:
+        depth += (character == "(") - (character == ")")
+        outer.append(character if depth == 0 else " ")
+    return "ORDER BY" in "".join(outer)
+
+
+def in_order(columns: list[str], rows, key: str) -> list:
+    place = columns.index(key)
+    return [_plain(row[place]) for row in rows]
+
+
 def differences(spark_frame, connection, sql: str) -> list[str]:
-    left_columns, left = normalised(spark_frame.columns, spark_frame.collect())
+    spark_rows = spark_frame.collect()
+    left_columns, left = normalised(spark_frame.columns, spark_rows)
     cursor = connection.execute(sql)
-    right_columns, right = normalised([d[0] for d in cursor.description], cursor.fetchall())
+    sql_rows = cursor.fetchall()
+    sql_columns = [d[0] for d in cursor.description]
+    right_columns, right = normalised(sql_columns, sql_rows)
     if left_columns != right_columns:
         return [f"columns {left_columns} != {right_columns}"]
-    found = []
+    found = [] if left or right else ["no rows on either side"]
+    if is_ordered(sql):
+        # Rows that tie in the order may change places, so the sorted column is compared.
+        for key in ("timestamp", "time_sec", "date", "start_time", "filename", "file_name"):
+            if key in left_columns:
+                if in_order(spark_frame.columns, spark_rows, key) != in_order(sql_columns, sql_rows, key):
+                    found.append(f"order by {key} differs")
+                break
     if len(left) != len(right):
         found.append(f"{len(left)} rows != {len(right)}")
     types = {d[0]: str(d[1]) for d in cursor.description}

@@ -4,7 +4,6 @@ import pytest
 from samples import LATENCY, created, package, write_packages
 
 from skyledger.operators import keypool, station
-from skyledger.session import fit_shuffle
 from skyledger.sources import catalogue
 from skyledger.sources.logs import read_log_lines
 from skyledger.sources.packages import read_package_lines, read_packages
@@ -65,8 +64,9 @@ def test_log_catalogue_and_new_files(spark, tmp_path):
 
 def test_catalogue_does_not_read_contents(spark, tmp_path):
     write_log(tmp_path, "a.log", ["x"])
-    plan = catalogue.log_catalogue(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan.split("ReadSchema")[1]
+    (tmp_path / "b.log").write_bytes(b"x")
+    (tmp_path / "b.log").chmod(0)
+    assert catalogue.log_catalogue(spark, str(tmp_path)).count() == 2
 
 
 def test_empty_catalogue(spark, tmp_path):
@@ -112,10 +112,20 @@ def test_packages_one_a_line(spark, tmp_path):
     assert station.environment_rows(station.settle(packages)).count() == 50
 
 
-def test_shuffles_are_sized_by_the_input(spark):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert fit_shuffle(spark, 1000) == spark.sparkContext.defaultParallelism
-        assert fit_shuffle(spark, 100 << 40) == 409600
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+def test_names_with_blanks_and_equal_names(spark, tmp_path):
+    write_log(tmp_path / "a", "key pool.log", ["x"])
+    write_log(tmp_path / "b", "key pool.log", ["xyz"])
+    (tmp_path / "b" / "empty.log").write_text("")
+    write_log(tmp_path, "_hidden.log", ["x"])
+    rows = catalogue.log_catalogue(spark, str(tmp_path)).collect()
+    assert [(r.filename, r["size"], r.path.split("/")[-2]) for r in rows] == [
+        ("empty.log", 0, "b"), ("key pool.log", 2, "a"), ("key pool.log", 4, "b"),
+    ]
+    assert all(r.modified is not None for r in rows)
+
+
+def test_latest_package_file(spark, tmp_path):
+    write_packages(tmp_path, [package(i) for i in range(3)])
+    (tmp_path / "package_zzz.txt").write_text("{}")
+    names = [r.filename for r in catalogue.package_files(spark, str(tmp_path)).collect()]
+    assert [r.filename for r in catalogue.latest_package_file(spark, str(tmp_path)).collect()] == names[-1:]

@@ -50,6 +50,7 @@ def hot_alerts(spark, rows=60_000):
 def test_hot_pass_is_split_over_tasks(spark, settings_of):
     settings_of(
         spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="200KB",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
         spark__sql__adaptive__advisoryPartitionSizeInBytes="100KB",
@@ -77,7 +78,7 @@ def test_alerts_without_pass_are_spread(spark, settings_of):
     assert len(sizes) == 8 and max(sizes) < 2 * 60_000 / 8
 
 
-@pytest.mark.parametrize("name", ["pass_summary_upsert", "key_creation_upsert", "package_dedup", "schedule_upsert"])
+@pytest.mark.parametrize("name", ["pass_summary_upsert", "key_creation_upsert", "schedule_upsert"])
 def test_folds_combine_before_the_shuffle(spark, name):
     text = plan(entry_points.queries()[name](spark, SF_DIR))
     assert "partial_min_by" in text
@@ -123,3 +124,17 @@ def test_hot_day_is_written_by_several_tasks(spark, settings_of, tmp_path):
         files[day] = files.get(day, 0) + 1
     assert files["2024-01-08"] > 4 and len(files) == 40
     assert spark.read.parquet(path).count() == 60_000
+
+
+def test_dedup_shuffles_flags_and_orders_only(spark):
+    text = plan(entry_points.queries()["package_dedup"](spark, SF_DIR))
+    exchange = text.index("Exchange hashpartitioning")
+    assert "partial_min(" in text[exchange:] and "SortAggregate" not in text
+    keys = [line for line in text.splitlines() if "partial_min(" in line]
+    assert not any("temperature" in line.split("output")[0] and "min_by" in line for line in keys)
+
+
+@pytest.mark.parametrize("name", ["alerts_ignore_fk", "active_alerts", "file_ledger_upsert", "new_files"])
+def test_no_join_is_planned_as_a_broadcast(spark, name):
+    text = plan(entry_points.queries()[name](spark, SF_DIR))
+    assert "BroadcastHashJoin" not in text and "BroadcastNestedLoopJoin" not in text

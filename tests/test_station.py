@@ -266,5 +266,14 @@ def test_snapshot_holds_the_newest_of_everything(spark):
     assert document["data"]["alerts"]["count"] == 10
     assert [a["alert_id"] for a in document["data"]["alerts"]["alerts"]] == [f"a{n:02d}" for n in range(11, 1, -1)]
     assert document["data"]["link"]["link_status"]["quantum"]["qber"] == 0.0151
-    assert document["data"]["schedule"]["scheduled_passes"][0]["pass_id"] == "pass-9"
+    planned = [p["pass_id"] for p in document["data"]["schedule"]["scheduled_passes"]]
+    assert planned == [p["pass_id"] for p in package(0)["data"]["schedule"]["scheduled_passes"] if p["pass_id"]]
+    # Nothing newer than the moment is in it.
+    earlier = assemble.snapshot(
+        station.environment_rows(s), station.link_rows(s), summaries, stored, station.schedule_rows(s), collector,
+        "2025-11-19 10:03:30",
+    ).first()
+    held = json.loads(earlier.document)["data"]
+    assert [a["alert_id"] for a in held["alerts"]["alerts"]] == ["a03", "a02", "a01", "a00"]
+    assert held["environment"] is None
     assert station.recent_alert_buffer(stored).collect()[0]["count"] == 10

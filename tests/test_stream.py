@@ -134,7 +134,10 @@ def test_streamed_tables_equal_batch_tables(spark, deployment, tmp_path):
     assert state["ogs_alerts"] == rows(
         station.alerts(station.alert_rows(settled), passes).select("alert_id", "related_pass_id")
     )
-    assert state["ogs_environment_data"] == rows(station.environment_rows(settled).select("ord", "timestamp", "ogs_id"))
+    streamed_rows = ingest.station_table(streamed, spark, "ogs_environment_data")
+    assert rows(streamed_rows.select("ord.delivery", "timestamp", "ogs_id")) == rows(
+        station.environment_rows(settled).select("ord", "timestamp", "ogs_id")
+    )
 
 
 def test_a_failed_batch_is_replayed_without_doubles(spark, deployment, monkeypatch):
@@ -268,3 +271,143 @@ def test_ledger_is_pruned_to_the_days_of_the_batch(spark, tmp_path):
     plan = fresh._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.splitlines() if "PartitionFilters: [" in line and "package_date" in line]
     assert any("ubquery" in line.split("PartitionFilters: [")[1].split("PushedFilters")[0] for line in scans)
+
+
+def test_arrival_not_the_file_name_orders_repeats(spark, deployment):
+    settings, logs, packages = deployment
+    write_log(logs, "keypool_2.log", [created(sequence=1, source=105)])
+    write_packages(packages, [package(0, summary=summary(notes="first"))], start=9)
+    run(spark, settings)
+    write_log(logs, "keypool_1.log", [created(sequence=2, source=101)])
+    write_packages(packages, [package(1, summary=summary(notes="second", end_time="2025-11-19T10:50:00Z"))], start=1)
+    running = run(spark, settings)
+    (key,) = ingest.keypool_table(running.warehouse, spark, "key_creations").collect()
+    assert (key.sequence_number, key.source_site_id, key.log_file) == (2, 105, "keypool_2.log")
+    assert station_state(spark, running.warehouse)["ogs_pass_summary"] == [
+        ("pass-1", dt.datetime(2025, 11, 19, 10, 50), "first")
+    ]
+
+
+def test_alerts_are_decided_on_arrival(spark, deployment):
+    """A pass that lands later under a smaller name lets nothing in, compacted or not."""
+    settings, _, packages = deployment
+    early = ALERT | {"alert_id": "early", "related_pass_id": "pass-2"}
+    write_packages(packages, [package(0, alerts=alerts(ALERT, early))], start=5)
+    run(spark, settings)
+    write_packages(packages, [package(1, summary=summary(pass_id="pass-2"), alerts=alerts())], start=1)
+    running = run(spark, settings)
+    expected = [("a-1", "pass-1")]
+    assert station_state(spark, running.warehouse)["ogs_alerts"] == expected
+    running.compact()
+    assert station_state(spark, running.warehouse)["ogs_alerts"] == expected
+    late = alerts(ALERT | {"alert_id": "late", "related_pass_id": "pass-2"})
+    write_packages(packages, [package(2, alerts=late)], start=0)
+    running = run(spark, settings)
+    for _ in range(2):
+        assert station_state(spark, running.warehouse)["ogs_alerts"] == [*expected, ("late", "pass-2")]
+        running.compact()
+
+
+@pytest.mark.parametrize("batches", [1, 2])
+def test_a_retried_package_offers_its_alerts_again(spark, deployment, batches):
+    settings, _, packages = deployment
+    loose = ALERT | {"alert_id": None, "description": "loose", "related_pass_id": None}
+    first, second = package(0, summary=None, alerts=alerts(ALERT, loose)), package(0, alerts=alerts(ALERT, loose))
+    third = package(0, alerts=alerts(ALERT | {"alert_id": "after"}))
+    if batches == 1:
+        write_packages(packages, [first, second, third])
+    else:
+        for start, one in enumerate((first, second, third)):
+            write_packages(packages, [one], start=start)
+            run(spark, settings)
+    running = run(spark, settings)
+    state = station_state(spark, running.warehouse)
+    assert state["ogs_alerts"] == [("a-1", "pass-1"), (None, "pass-1" if loose["related_pass_id"] else None)]
+
+
+def test_an_empty_snapshot_hides_nothing(spark, deployment):
+    settings, _, packages = deployment
+    unknown = ALERT | {"alert_id": "x", "related_pass_id": "never"}
+    for start in range(2):
+        write_packages(packages, [package(start, summary=None, alerts=alerts(unknown))], start=start)
+        running = run(spark, settings)
+    # Nothing was let in, so there is nothing to cover yet.
+    assert running.compact()["ogs_alerts"] is None
+    write_packages(packages, [package(3)], start=3)
+    running = run(spark, settings)
+    table = ingest.keyed_table(running.warehouse, spark, "ogs_alerts")
+    nothing = running.warehouse.state(spark, table, upto=1)
+    assert nothing.count() == 0
+    running.warehouse._publish(nothing, "ogs_alerts", 1)
+    assert running.warehouse._latest_snapshot(spark, "ogs_alerts")[1] == 1
+    write_packages(packages, [package(4, alerts=alerts(ALERT))], start=4)
+    running = run(spark, settings)
+    for _ in range(2):
+        assert station_state(spark, running.warehouse)["ogs_alerts"] == [("a-1", "pass-1")]
+        running.compact()
+
+
+def test_a_snapshot_without_manifest_is_not_there(spark, deployment):
+    settings, logs, _ = deployment
+    for batch in range(3):
+        write_log(logs, f"keypool_{batch}.log", [created(sequence=batch)])
+        running = run(spark, settings)
+    warehouse, table = running.warehouse, ingest.keyed_table(running.warehouse, spark, "key_creations")
+    before = rows(warehouse.folded(spark, table))
+    # A snapshot that a crash has cut short: half its rows, no manifest.
+    state = warehouse.state(spark, table, upto=1)
+    state.limit(0).write.parquet(f"{warehouse._snapshot_folder('key_creations')}/covers-1-cut")
+    assert rows(warehouse.folded(spark, table)) == before
+    assert running.compact()["key_creations"] == 1
+    assert warehouse._latest_snapshot(spark, "key_creations")[1] == 1
+    assert rows(warehouse.folded(spark, table)) == before
+
+
+def test_blank_and_empty_files_are_in_the_ledger(spark, deployment):
+    from skyledger.sources import catalogue
+
+    settings, logs, _ = deployment
+    write_log(logs, "keypool_1.log", [LATENCY])
+    write_log(logs, "keypool_2.log", ["", "   "])
+    write_log(logs, "keypool_3.log", [])
+    warehouse = run(spark, settings).warehouse
+    listed = catalogue.log_catalogue(spark, str(logs))
+    ledger = ingest.mark_empty_files(warehouse, listed)
+    assert rows(ledger.select("filename", "file_size", "total_lines")) == [
+        ("keypool_1.log", (logs / "keypool_1.log").stat().st_size, 1), ("keypool_2.log", 5, 0), ("keypool_3.log", 0, 0),
+    ]
+    assert catalogue.new_files(listed, ledger).count() == 0
+
+
+def test_a_failing_pipeline_is_started_again(spark, deployment, monkeypatch):
+    import time
+
+    settings, logs, _ = deployment
+    fast = replace(settings, keypool=replace(settings.keypool, interval="1 second"),
+                   station=replace(settings.station, enabled=False))
+    original, calls = service.store_log_batch, []
+
+    def failing(*arguments):
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("executor lost")
+        return original(*arguments)
+
+    monkeypatch.setattr(service, "store_log_batch", failing)
+    write_log(logs, "keypool_1.log", [LATENCY, LATENCY])
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", "mine")
+    running, end = IngestService(spark, fast), time.monotonic() + 90
+
+    def arrived():
+        table = ingest.keypool_table(running.warehouse, spark, "sync_latency_metrics")
+        return time.monotonic() > end or (table is not None and table.count() == 2)
+
+    running.start()
+    try:
+        assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") == "mine"
+        running.supervise(arrived, pause=0.1)
+    finally:
+        running.stop()
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+    assert time.monotonic() < end and running.restarts == {"keypool": 1}
+    assert "executor lost" in running.failures["keypool"]
