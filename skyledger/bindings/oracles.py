@@ -421,6 +421,15 @@ def oracle_sql() -> dict[str, str]:
         ),
         "log_file_scan": creations,
         "stream_log_ingest": creations,
+        "stream_sync_latency": _log("SELECT * EXCLUDE (ord) FROM latencies"),
+        "stream_key_count": _log("SELECT * EXCLUDE (ord) FROM counts"),
+        "stream_controller_sync": _log("SELECT * EXCLUDE (ord) FROM syncs"),
+        "stream_file_ledger": _log(
+            "SELECT s.filename, s.file_size, coalesce(total_lines, 0) AS total_lines, "
+            "coalesce(key_creations, 0) AS key_creations_count, coalesce(sync_latency, 0) AS sync_latency_count, "
+            "coalesce(key_counts, 0) AS key_count_count, coalesce(controller_syncs, 0) AS controller_sync_count "
+            "FROM sizes s LEFT JOIN stats USING (filename)"
+        ),
         "file_ledger_upsert": _two_runs(
             f"SELECT {_LEDGER_COLUMNS} FROM (SELECT * FROM stats_1 UNION ALL "
             "SELECT * FROM stats WHERE filename NOT IN (SELECT filename FROM stats_1)) f "
@@ -453,6 +462,12 @@ def oracle_sql() -> dict[str, str]:
         "alerts_ignore_fk": _station(alerts),
         "dump_restore": _station(alerts),
         "stream_alert_ingest": _station(alerts),
+        "stream_compact_passes": _station(passes),
+        "stream_compact_alerts": _station(alerts),
+        "stream_environment": _station("SELECT * EXCLUDE (ord) FROM environment"),
+        "stream_link": _station("SELECT * EXCLUDE (ord) FROM link"),
+        "stream_schedule": _station(f"SELECT {_SCHEDULE_COLUMNS} FROM schedule"),
+        "stream_compact_schedule": _station(f"SELECT {_SCHEDULE_COLUMNS} FROM schedule"),
         "schedule_flatten": _station(f"SELECT e AS ord, pos, {_SCHEDULE_COLUMNS} FROM schedule_rows"),
         "schedule_upsert": _station(f"SELECT {_SCHEDULE_COLUMNS} FROM schedule"),
         "collector_status": _station(

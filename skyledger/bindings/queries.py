@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from skyledger.bindings import stand_ins
 from skyledger.operators import assemble, keypool, quality, station
 from skyledger.plans import export, panels, views
-from skyledger.schemas import KEYPOOL_TABLES, STATION_TABLES
+from skyledger.schemas import FILE_LEDGER_COLUMNS, KEYPOOL_TABLES, STATION_TABLES
 from skyledger.session import scratch_folder
 from skyledger.sources import catalogue
 from skyledger.sources.logs import read_log_lines, stream_log_lines
-from skyledger.sources.packages import parse_documents
+from skyledger.sources.packages import package_line_batch, parse_documents, stream_package_lines
 from skyledger.sources.tables import read_table, write_by_day
 from skyledger.streaming.ingest import (
+    compact,
     keypool_table,
     package_ledger,
     station_table,
@@ -466,54 +467,90 @@ def _write_log_files(spark: SparkSession, sf_dir: str) -> str:
 
 # ---------------------------------------------------------------- streams
 
+_RUNS: dict[tuple, Warehouse] = {}
 
-@query
-def stream_log_ingest(spark, sf_dir):
-    """Key creations as the streaming pipeline stores them."""
-    landing = _write_log_files(spark, sf_dir)
-    root = scratch_folder(spark, "stream")
-    warehouse = Warehouse(f"{root}/tables")
-    lines = stream_log_lines(spark, landing, max_files=100, glob=None, folder="log_file")
-    start_ingest(lines, store_log_batch, warehouse, f"{root}/progress", "keypool").awaitTermination()
-    return keypool_table(warehouse, spark, "key_creations")
 
+def _once(spark: SparkSession, sf_dir: str, name: str, run: Callable[[], Warehouse]) -> Warehouse:
+    """The tables of a stream run, shared by the queries of a session that read them."""
+    key = (spark.sparkContext.applicationId, sf_dir, name, stand_ins.version(spark, sf_dir))
+    if key not in _RUNS:
+        _RUNS[key] = run()
+    return _RUNS[key]
 
-def _stream_packages(spark: SparkSession, sf_dir: str) -> Warehouse:
-    root = scratch_folder(spark, "stream")
-    documents = stand_ins.package_documents(spark, sf_dir)
-    # Two landings, one after the other; both deliveries of a package land in one file, as
-    # the files of a micro-batch may be taken in any order.
-    pair = F.floor(F.col("ord") / 2)
-    middle = documents.agg(F.floor(F.max(pair) / 2)).scalar()
-    for half in (documents.where(pair <= middle), documents.where(pair > middle)):
-        half.repartition(8, pair).write.mode("append").parquet(f"{root}/landing")
-    warehouse = Warehouse(f"{root}/tables")
-    stream = (
-        spark.readStream.schema(documents.schema)
-        .option("maxFilesPerTrigger", 8)
-        .parquet(f"{root}/landing")
-    )
-    start_ingest(
-        parse_documents(stream), store_package_batch, warehouse, f"{root}/progress", "station"
-    ).awaitTermination()
-    return warehouse
 
+def _log_stream(spark: SparkSession, sf_dir: str) -> Warehouse:
+    def run() -> Warehouse:
+        landing = _write_log_files(spark, sf_dir)
+        root = scratch_folder(spark, "stream")
+        warehouse = Warehouse(f"{root}/tables")
+        lines = stream_log_lines(spark, landing, max_files=10_000, glob=None, folder="log_file")
+        start_ingest(lines, store_log_batch, warehouse, f"{root}/progress", "keypool").awaitTermination()
+        return warehouse
 
-@query
-def stream_package_ingest(spark, sf_dir):
-    """Pass summaries as the streaming pipeline stores them."""
-    warehouse = _stream_packages(spark, sf_dir)
-    return station_table(warehouse, spark, "ogs_pass_summary").select(*STATION_TABLES["ogs_pass_summary"])
+    return _once(spark, sf_dir, "logs", run)
 
 
-@query
-def stream_alert_ingest(spark, sf_dir):
-    """Alerts as the streaming pipeline stores them."""
-    warehouse = _stream_packages(spark, sf_dir)
-    return station_table(warehouse, spark, "ogs_alerts").select(*STATION_TABLES["ogs_alerts"])
+def _store_merged(warehouse: Warehouse, lines: DataFrame, batch_id: int) -> None:
+    store_package_batch(warehouse, package_line_batch(lines), batch_id)
+
+
+def _package_stream(spark: SparkSession, sf_dir: str, compacted: bool = False) -> Warehouse:
+    """The station tables after three landings of merged files; with `compacted` after
+    snapshots between and behind them."""
+
+    def run() -> Warehouse:
+        root = scratch_folder(spark, "stream")
+        warehouse = Warehouse(f"{root}/tables")
+        documents = stand_ins.package_documents(spark, sf_dir)
+        pair = F.floor(F.col("ord") / 2)
+        whole = documents.agg(F.max(pair) + 1).scalar()
+        for third in range(3):
+            # Both deliveries of a package land in one file; a landing is one micro-batch.
+            part = documents.where(F.floor(pair * 3 / whole) == third)
+            files = part.repartitionByRange(4, pair).sortWithinPartitions("ord")
+            files.select("document").write.mode("append").text(f"{root}/landing")
+            lines = stream_package_lines(spark, f"{root}/landing", max_files=10_000)
+            start_ingest(lines, _store_merged, warehouse, f"{root}/progress", "station").awaitTermination()
+            if compacted:
+                compact(warehouse, spark)
+        return warehouse
+
+    return _once(spark, sf_dir, f"packages-{compacted}", run)
+
+
+def _streamed(name: str, table: str, compacted: bool = False) -> None:
+    def read(spark, sf_dir):
+        warehouse = _package_stream(spark, sf_dir, compacted)
+        return station_table(warehouse, spark, table).select(*STATION_TABLES[table])
+
+    read.__name__, read.__doc__ = name, f"{table} as the streaming pipeline stores it."
+    query(read)
+
+
+def _streamed_log(name: str, table: str, columns: list[str]) -> None:
+    def read(spark, sf_dir):
+        return keypool_table(_log_stream(spark, sf_dir), spark, table).select(*columns)
+
+    read.__name__, read.__doc__ = name, f"{table} as the streaming pipeline stores it."
+    query(read)
+
+
+_streamed_log("stream_log_ingest", "key_creations", KEYPOOL_TABLES["key_creations"])
+_streamed_log("stream_sync_latency", "sync_latency_metrics", KEYPOOL_TABLES["sync_latency_metrics"])
+_streamed_log("stream_key_count", "key_count_metrics", KEYPOOL_TABLES["key_count_metrics"])
+_streamed_log("stream_controller_sync", "controller_syncs", KEYPOOL_TABLES["controller_syncs"])
+_streamed_log("stream_file_ledger", "processed_files", FILE_LEDGER_COLUMNS)
+_streamed("stream_package_ingest", "ogs_pass_summary")
+_streamed("stream_alert_ingest", "ogs_alerts")
+_streamed("stream_environment", "ogs_environment_data")
+_streamed("stream_link", "ogs_link_data")
+_streamed("stream_schedule", "ogs_pass_schedule")
+_streamed("stream_compact_passes", "ogs_pass_summary", compacted=True)
+_streamed("stream_compact_alerts", "ogs_alerts", compacted=True)
+_streamed("stream_compact_schedule", "ogs_pass_schedule", compacted=True)
 
 
 @query
 def stream_package_ledger(spark, sf_dir):
     """The package ledger after the streaming pipeline has run."""
-    return package_ledger(_stream_packages(spark, sf_dir), spark)
+    return package_ledger(_package_stream(spark, sf_dir), spark)

@@ -34,7 +34,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/events.parquet").repartition("event_id")
 
 
-def _version(spark: SparkSession, sf_dir: str) -> str:
+def version(spark: SparkSession, sf_dir: str) -> str:
     """Which files the events lie in, and when they were written."""
     meta = read_table(spark, f"{sf_dir}/events.parquet").select(
         F.struct("_metadata.file_path", "_metadata.file_modification_time", "_metadata.file_size").alias("file")
@@ -48,7 +48,7 @@ _LANDED: dict[tuple[str, str, str, str], tuple[str, StructType]] = {}
 
 def _landed(spark: SparkSession, sf_dir: str, name: str, derive: Callable[[], DataFrame]) -> DataFrame:
     """The derived rows from the shared folder, written on first use."""
-    key = (spark.sparkContext.applicationId, sf_dir, name, _version(spark, sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir, name, version(spark, sf_dir))
     if key in _LANDED:
         path, schema = _LANDED[key]
         try:

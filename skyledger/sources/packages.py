@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.rows import computed_once
 from skyledger.schemas import SECTIONS, package_schema
-from skyledger.sources.logs import read_log_lines
+from skyledger.sources.logs import read_log_lines, stream_log_lines, with_arrival_order
 
 PACKAGE_GLOB = "package_*.json"
 PACKAGE_NAME = r"\Apackage_.*\.json\z"
@@ -64,6 +64,18 @@ def stream_packages(spark: SparkSession, path: str, max_files: int) -> DataFrame
     return _documents(spark.readStream.option("maxFilesPerTrigger", max_files), path, SECTIONS)
 
 
+def stream_package_lines(spark: SparkSession, path: str, max_files: int) -> DataFrame:
+    """Merged package files as they land, one document a line, before the arrival order."""
+    return stream_log_lines(spark, path, max_files, glob=None)
+
+
+def package_line_batch(lines: DataFrame, sections: list[str] = tuple(SECTIONS)) -> DataFrame:
+    """The packages of a micro-batch of merged files, in the order of their lines."""
+    ordered = with_arrival_order(lines)
+    documents = ordered.select(F.col("log_file").alias("file_name"), "ord", F.col("value").alias("document"))
+    return parse_documents(documents, sections)
+
+
 def _documents(reader, path: str, sections: list[str]) -> DataFrame:
     documents = (
         reader.schema(package_schema(sections))
