@@ -154,3 +154,16 @@ def test_rejected_lines_and_stored_rows_cover_every_entry(spark):
     entries = parse(spark, lines)
     stored = sum(keypool.stored_rows(entries, t).count() for t in keypool.KEYPOOL_TABLES)
     assert stored + keypool.rejected_lines(entries).count() == len(lines)
+
+
+def test_rows_outside_a_domain_or_with_gaps(spark):
+    from skyledger.operators import quality
+
+    rows = spark.createDataFrame(
+        [(1, "PUBLIC", 5), (2, "SECRET", 5), (3, None, None), (4, "SHARED", None)],
+        "ord int, key_pool_type string, sequence_number int",
+    )
+    found = quality.rejected_rows(rows, ["key_pool_type", "sequence_number"]).orderBy("ord").collect()
+    assert [(r.ord, r.missing, r.outside) for r in found] == [
+        (2, [], ["key_pool_type"]), (3, ["key_pool_type", "sequence_number"], []), (4, ["sequence_number"], []),
+    ]
