@@ -15,6 +15,9 @@ import skyledger
 from skyledger.session import scratch_folder
 
 RANGE_SAMPLE = 20_000
+# Rows handed to Python at once. Texts may be long, so far fewer than Spark's own number.
+ROWS_AT_ONCE = 1_000
+ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,8 +62,10 @@ def range_index(column: Column, bounds: list[int]) -> Column:
 def ship_package(spark: SparkSession) -> None:
     """Give the executors this package, once per session, where it is not installed there.
 
-    The archive stays on the driver until it ends; Spark hands it to each executor.
+    Batches for Python are made small, as a thousand long texts fill a worker's memory. The
+    archive stays on the driver until it ends; Spark hands it to each executor.
     """
+    spark.conf.set(ROWS_KEY, str(min(ROWS_AT_ONCE, int(spark.conf.get(ROWS_KEY)))))
     context = spark.sparkContext
     if getattr(context, "_skyledger_shipped", False):
         return

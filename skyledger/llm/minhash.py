@@ -4,18 +4,20 @@ A sketch samples, under each of several hash functions, the smallest few of a te
 occurrence-labelled five-word shingles and keeps them in text order. Texts of one sample meet
 in a bucket; sampling several in order makes a chance meeting over one shared passage rare.
 
-Equal texts are one node from the start. In a bucket every text is aligned with a leader, not
-with every other; each bucket has a leader of its own, so the texts of a large group meet many
-leaders. What the leaders of a round do not tie is compared again in its bucket, with four times
-as many leaders in each round, until nothing untied is left that was not compared. Verified links
-become classes by distributed connected components.
+Equal texts are one node from the start. In a bucket the texts are aligned with its leaders,
+not with each other: first with the one text that shares most codes with others, then, if that
+does not tie them, with the next three, then eight. A bucket of up to 12 texts
+so ends with each untied text aligned with all others. In a larger one, what 12 leaders leave
+untied meets again where two codes are shared, then three. Verified links become classes by
+distributed connected components. What can be missed: a link of a text that no leader of its
+buckets is tied to, to one that is tied and leads none of them.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +30,8 @@ SKETCHES = 16
 SAMPLE = 4
 SEED = 0x5EED
 CHUNK = 1 << 16
+# Leaders of a bucket after each round.
+LEADERS = (1, 4, 12)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -70,6 +74,11 @@ def _key(text):
     return F.md5(F.coalesce(text, F.lit("")))
 
 
+def _id(column: str):
+    """An id as a join key in which null meets null."""
+    return F.coalesce(F.col(column).cast("string"), F.lit("")).alias("id")
+
+
 def sketched(docs: DataFrame, key: str, text: str, sketches: int, sample: int) -> DataFrame:
     """row, doc_id, key, codes: a narrow row per document. Texts without words have no codes."""
     rows = docs.select(
@@ -110,73 +119,118 @@ def _aligned(pairs: DataFrame, least: float) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, least: float) -> DataFrame:
-    """Pairs of nodes that are alike. Only texts of nodes in a pair go on past the first join.
+def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Pairs of nodes that are alike. Aligning costs more than its bytes tell, so pairs are
+    dealt out by number."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    needed = texts.join(wanted, "node")
+    both = (
+        pairs.join(needed.withColumnRenamed("node", "b").withColumnRenamed("text", "text_b"), "b")
+        .join(needed.withColumnRenamed("node", "a").withColumnRenamed("text", "text_a"), "a")
+        .select("a", "b", "text_a", "text_b")
+    )
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _aligned(both.repartition(parts, "a", "b"), least)
+
 
-    A node's text comes from the rows that are its key and its first document; rows repeated
-    with both give the same text, and one of them is taken.
+def _named(rows: DataFrame, tied: DataFrame | None, node: str, name: str) -> DataFrame:
+    """With the component of a node, itself where nothing is tied to it."""
+    if tied is None:
+        return rows.withColumn(name, F.col(node))
+    of = tied.select(F.col("node").alias(node), F.col("component").alias(name))
+    return rows.join(of, node, "left").withColumn(name, F.coalesce(name, node))
+
+
+def _leaders(spots: DataFrame) -> DataFrame:
+    """code, a, rank, n: the nodes of a bucket that share most codes with others, and its size.
+
+    Such a text lies in the middle of its group: among copies that were each changed in their
+    own places, it is the one least changed. Ranks are cut off on the map side.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
-    texts = docs.join(wanted.select("node", "key", F.col("least").alias("doc_id")), ["key", "doc_id"]).select("node", "text")
-    texts = stored(texts.dropDuplicates(["node"]), "near-texts")
-    both = (
-        pairs.join(texts.withColumnRenamed("text", "text_b"), pairs["b"] == texts["node"])
-        .drop("node")
-        .join(texts.withColumnRenamed("node", "a").withColumnRenamed("text", "text_a"), "a")
+    sizes = spots.groupBy("code").agg(F.count("*").alias("n"))
+    sized = spots.join(sizes, "code")
+    fame = sized.groupBy("node").agg(F.sum("n").alias("fame"))
+    by_fame = Window.partitionBy("code").orderBy(F.desc("fame"), "node")
+    ranked = spots.join(fame, "node").withColumn("rank", F.row_number().over(by_fame)).where(F.col("rank") <= LEADERS[-1])
+    return ranked.join(sizes, "code").select("code", F.col("node").alias("a"), "rank", "n")
+
+
+def _meetings(untied: DataFrame, leaders: DataFrame, tied: DataFrame | None) -> DataFrame:
+    """a, b: untied nodes and the leaders of their buckets, each pair once.
+
+    The leaders of a bucket go as one list to each of its nodes, and a node's lists are
+    united, so a pair that meets in many buckets is written once.
+    """
+    lists = leaders.groupBy("code").agg(F.collect_list("a").alias("leaders"))
+    met = (
+        untied.join(lists, "code")
+        .groupBy("node")
+        .agg(F.array_distinct(F.flatten(F.collect_list("leaders"))).alias("leaders"))
+        .select("node", F.explode("leaders").alias("a"))
     )
-    return _aligned(both.select("a", "b", "text_a", "text_b"), least)
+    apart = _named(_named(met, tied, "node", "c"), tied, "a", "d").where("c <> d")
+    return apart.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
 
 
-def _rounds(spots: DataFrame, nodes: DataFrame, docs: DataFrame, least: float) -> DataFrame:
-    """node, component of all nodes that are tied to another.
+def _rounds(spots: DataFrame, texts: DataFrame, least: float) -> DataFrame | None:
+    """node, component of all nodes that are tied to another, or None.
 
-    `spots` has node and code, one row per bucket a node is in. A round picks leaders among
-    the untied texts of each bucket: the lowest of node XOR code, which no table holds and
-    any order of rows gives alike; each round cuts a bucket's texts into four times as many
-    sections by a hash, each with a leader.
+    `spots` has node and code, one row per bucket a node is in. Each round aligns the untied
+    nodes of a bucket with its next leaders. A bucket is done when all its nodes are tied or
+    were leaders themselves. Nodes that all leaders of a large bucket leave untied meet again
+    where two codes of such buckets are shared, then three, and so on: codes are added in
+    ascending order, and only to what is still open. Pairs once aligned are not aligned again.
     """
-    number, tied = 0, None
-    untied = spots
+    tied, tested, base = None, None, None
+    spots = spots.withColumn("last", F.col("code"))
     while True:
-        section = F.pmod(F.xxhash64("node", F.lit(number)), F.lit(4**number))
-        mixed = F.col("node").bitwiseXOR(F.col("code"))
-        leaders = (
-            untied.withColumn("section", section)
-            .groupBy("code", "section")
-            .agg(F.min(mixed).alias("low"))
-            .select("code", F.col("low").bitwiseXOR(F.col("code")).alias("a"))
-        )
-        pairs = stored(
-            untied.join(leaders, "code").where("a <> node").select("a", F.col("node").alias("b")).distinct(), "near-pairs"
+        leaders = stored(_leaders(spots), "near-leaders")
+        untied, done = spots.select("node", "code"), 0
+        for upto in LEADERS if base is None else LEADERS[-1:]:
+            now = leaders.where((F.col("rank") > done) & (F.col("rank") <= upto))
+            pairs = _meetings(untied, now, tied)
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = stored(pairs, "near-pairs")
+            tested = pairs if tested is None else tested.union(pairs)
+            if not pairs.isEmpty():
+                found = stored(_verified(pairs, texts, least), "near-links")
+                if not found.isEmpty():
+                    links = found.select(F.col("a").alias("u"), F.col("b").alias("v"))
+                    if tied is not None:
+                        links = links.union(tied.select("node", "component"))
+                    tied = stored(components(links), "near-tied")
+            done = upto
+            untied = stored(_still_untied(untied, leaders, tied, done), "near-untied")
+            if untied.isEmpty():
+                return tied
+        if base is None:
+            base = untied.select("node", F.col("code").alias("more"))
+        wider = (
+            untied.join(spots.select("node", "code", "last"), ["node", "code"])
+            .join(base, "node")
+            .where("more > last")
+            .select("node", F.xxhash64("code", "more").alias("code"), F.col("more").alias("last"))
         )
-        if pairs.isEmpty():
+        spots = stored(_shared(wider), "near-spots")
+        if spots.isEmpty():
             return tied
-        found = stored(_verified(pairs, nodes, docs, least), "near-links").select(F.col("a").alias("u"), F.col("b").alias("v"))
-        if not found.isEmpty():
-            if tied is not None:
-                found = found.union(tied.select("node", "component"))
-            tied = stored(components(found), "near-tied")
-        untied = stored(_still_untied(untied, leaders, tied), "near-untied")
-        number += 1
 
 
-def _still_untied(untied: DataFrame, leaders: DataFrame, tied: DataFrame | None) -> DataFrame:
-    """Spots whose node no leader of its bucket is tied to, in buckets that hold several components of them."""
-    if tied is None:
-        named = untied.withColumn("component", F.col("node"))
-        leading = leaders.select("code", F.col("a").alias("component"))
-    else:
-        named = untied.join(tied, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        of = tied.withColumnRenamed("node", "a")
-        leading = leaders.join(of, "a", "left").select("code", F.coalesce("component", "a").alias("component")).distinct()
-    rest = named.join(leading, ["code", "component"], "left_anti")
-    several = (
-        rest.groupBy("code")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low < high")
-        .select("code")
-    )
-    return rest.join(several, "code", "left_semi").select("node", "code")
+def _shared(spots: DataFrame) -> DataFrame:
+    """Spots of codes that more than one node has."""
+    shared = spots.groupBy("code").agg(F.count("*").alias("n")).where("n > 1").select("code")
+    return spots.join(shared, "code", "left_semi")
+
+
+def _still_untied(untied: DataFrame, leaders: DataFrame, tied: DataFrame | None, done: int) -> DataFrame:
+    """Spots of buckets with leaders to come, or too large for all to lead, whose node no
+    leader so far is or is tied to."""
+    used = leaders.where(F.col("rank") <= done)
+    leading = _named(used, tied, "a", "component").select("code", "component").distinct()
+    open_codes = leaders.where((F.col("rank") == 1) & (F.col("n") > done)).select("code")
+    named = _named(untied.join(open_codes, "code", "left_semi"), tied, "node", "component")
+    return named.join(leading, ["code", "component"], "left_anti").select("node", "code")
 
 
 def near_duplicate_classes(
@@ -206,10 +260,14 @@ def near_duplicate_classes(
     codes = rows.join(nodes.select(F.col("node").alias("row")), "row").select(
         F.col("row").alias("node"), F.explode("codes").alias("code")
     )
-    shared = codes.groupBy("code").agg(F.count("*").alias("n")).where("n > 1").select("code")
-    spots = stored(codes.join(shared, "code", "left_semi"), "near-spots")
-    texts = docs.select(_key(F.col(text)).alias("key"), F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    tied = _rounds(spots, nodes, texts, least)
+    spots = stored(_shared(codes), "near-spots")
+    # Texts move once, and only those that meet another go on. A node's text comes from the
+    # rows that are its key and its first document; rows repeated with both have one text.
+    whole = docs.select(_key(F.col(text)).alias("key"), F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    meeting = spots.select("node").distinct().join(nodes, "node").select("node", "key", _id("least"))
+    texts = whole.select("key", _id("doc_id"), "text").join(meeting, ["key", "id"]).select("node", "text")
+    texts = stored(texts.dropDuplicates(["node"]), "near-texts")
+    tied = _rounds(spots, texts, least)
     if tied is None:
         named = nodes.withColumn("component", F.col("node"))
     else:
