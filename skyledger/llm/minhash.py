@@ -32,6 +32,21 @@ SEED = 0x5EED
 CHUNK = 1 << 16
 # Leaders of a bucket after each round.
 LEADERS = (1, 4, 12)
+# Nodes of a block of a bucket, on average. A cell is two blocks.
+BLOCK = 64
+# Rows of cells handed back from Python at once, and their columns.
+CELL_ROWS = 10_000
+CELL = pa.schema(
+    [
+        ("code", pa.int64()),
+        ("low", pa.int32()),
+        ("high", pa.int32()),
+        ("side", pa.int32()),
+        ("node", pa.int64()),
+        ("component", pa.int64()),
+        ("codes", pa.list_(pa.int64())),
+    ]
+)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -233,6 +248,125 @@ def _still_untied(untied: DataFrame, leaders: DataFrame, tied: DataFrame | None,
     return named.join(leading, ["code", "component"], "left_anti").select("node", "code")
 
 
+def _cells(spots: DataFrame, tied: DataFrame | None) -> DataFrame:
+    """code, low, high, side, node, component, codes: the buckets that hold several components,
+    as cells of two blocks each, so that any two nodes of a bucket meet in one cell of it.
+
+    `side` is the node's block. `codes` are all such buckets of a node, ascending.
+    """
+    named = _named(spots, tied, "node", "component")
+    several = (
+        named.groupBy("code")
+        .agg(F.count("*").alias("n"), F.min("component").alias("first"), F.max("component").alias("last"))
+        .where("first < last")
+        .select("code", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    )
+    parts = named.join(several, "code")
+    codes = parts.groupBy("node").agg(F.sort_array(F.collect_list("code")).alias("codes"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    return (
+        parts.join(codes, "node")
+        .withColumn("side", block)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("code", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "node", "component", "codes")
+    )
+
+
+def _dealt(cells: DataFrame) -> DataFrame:
+    """Rows of a cell one after the other."""
+    parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cells.repartition(parts, "code", "low", "high").sortWithinPartitions("code", "low", "high", "node")
+
+
+def _by_cell(batches):
+    """The rows of each cell, as lists, from batches sorted by cell."""
+    held, last = [], None
+    for batch in batches:
+        for row in batch.to_pylist():
+            cell = (row["code"], row["low"], row["high"])
+            if cell != last and held:
+                yield held
+                held = []
+            last = cell
+            held.append(row)
+    if held:
+        yield held
+
+
+def _own_pairs(rows: list[dict]):
+    """Places of the pairs a cell has to answer for: of different blocks, if it has two, of
+    different components, and of no common bucket with a lower code."""
+    code, across = rows[0]["code"], rows[0]["low"] < rows[0]["high"]
+    lower = [frozenset(c for c in row["codes"] if c < code) for row in rows]
+    for i, one in enumerate(rows):
+        for j in range(i + 1, len(rows)):
+            other = rows[j]
+            if one["component"] == other["component"] or across and one["side"] == other["side"]:
+                continue
+            if lower[i].isdisjoint(lower[j]):
+                yield i, j
+
+
+def _needed(cells: DataFrame) -> DataFrame:
+    """The rows of cells that are in a pair of their cell."""
+    names = cells.columns
+
+    def run(batches):
+        told: list[dict] = []
+        for rows in _by_cell(batches):
+            told += [rows[i] for i in sorted({i for pair in _own_pairs(rows) for i in pair})]
+            if len(told) >= CELL_ROWS:
+                yield pa.RecordBatch.from_pylist(told, schema=CELL)
+                told = []
+        if told:
+            yield pa.RecordBatch.from_pylist(told, schema=CELL)
+
+    return _dealt(cells).mapInArrow(run, cells.schema).select(*names)
+
+
+def _linked(cells: DataFrame, least: float) -> DataFrame:
+    """Rows of cells with their texts -> a, b: links that join all components that links join.
+
+    A pair that links of its cell have joined already is not aligned.
+    """
+
+    def run(batches):
+        for rows in _by_cell(batches):
+            values = [shingles(row["text"]) for row in rows]
+            above = {row["component"]: row["component"] for row in rows}
+
+            def root(c, above=above):
+                while above[c] != c:
+                    above[c] = c = above[above[c]]
+                return c
+
+            found = []
+            for i, j in _own_pairs(rows):
+                one, other = root(rows[i]["component"]), root(rows[j]["component"])
+                if one != other and similarity(values[i], values[j], least) >= least:
+                    above[one] = other
+                    found.append((rows[i]["node"], rows[j]["node"]))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in zip(*found, strict=True)], names=["u", "v"])
+
+    return _dealt(cells).mapInArrow(run, "u long, v long")
+
+
+def _united(spots: DataFrame, texts: DataFrame, tied: DataFrame | None, least: float) -> DataFrame | None:
+    """`tied` with every link between two components that a bucket holds.
+
+    Afterwards any two nodes of a bucket are of one component or have been aligned. A pair is
+    aligned in one cell however many buckets it meets in, and no table has a row per pair.
+    """
+    needed = stored(_needed(_cells(spots, tied)), "near-cells")
+    if needed.isEmpty():
+        return tied
+    links = stored(_linked(needed.join(texts, "node"), least), "near-united")
+    if links.isEmpty():
+        return tied
+    return stored(components(links if tied is None else links.union(tied.select("node", "component"))), "near-tied")
+
+
 def near_duplicate_classes(
     docs: DataFrame,
     key: str = "doc_id",
@@ -267,7 +401,7 @@ def near_duplicate_classes(
     meeting = spots.select("node").distinct().join(nodes, "node").select("node", "key", _id("least"))
     texts = whole.select("key", _id("doc_id"), "text").join(meeting, ["key", "id"]).select("node", "text")
     texts = stored(texts.dropDuplicates(["node"]), "near-texts")
-    tied = _rounds(spots, texts, least)
+    tied = _united(spots, texts, _rounds(spots, texts, least), least)
     if tied is None:
         named = nodes.withColumn("component", F.col("node"))
     else:

@@ -91,6 +91,43 @@ def test_classes_against_all_pairs(spark):
     assert {r.doc_id for r in minhash.keep_one(frame).collect()} == set(got.values())
 
 
+def chained():
+    """One group of hundreds: several centres, and chains of copies of copies around each."""
+    random.seed(11)
+    docs = [[f"c{i}" for i in range(240)]]
+    for _ in range(299):
+        docs.append(edited(random.choice(docs[-40:]), 0.02))
+    return [(i, " ".join(words)) for i, words in enumerate(docs)]
+
+
+def test_chained_group_against_all_pairs(spark):
+    docs = chained()
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicate_classes(frame).collect()}
+    assert got == brute(docs, 0.8)
+
+
+def one_bucket(count):
+    """A chain of texts, each alike to the one before and after only, that share their only code."""
+    for salt in range(10_000):
+        segments = [[f"x{salt}s{k}w{i}" for i in range(15)] for k in range(14)]
+        docs = []
+        for i in range(count):
+            docs.append([word for segment in segments for word in segment])
+            segments[1 + i % 13] = [f"x{salt}i{i}w{j}" for j in range(15)]
+        codes = (minhash.sketch(alignment.shingles(" ".join(words)), 1, 1)[0] for words in docs)
+        first = next(codes)
+        if all(code == first for code in codes):
+            return [(i, " ".join(words)) for i, words in enumerate(docs)]
+
+
+def test_links_of_texts_tied_to_different_leaders(spark):
+    docs = one_bucket(6)
+    frame = spark.createDataFrame([docs[i] for i in (1, 4, 0, 5, 2, 3)], "doc_id long, text string").coalesce(1)
+    assert set(brute(docs, 0.8).values()) == {0} and len(set(brute(docs[::2], 0.8).values())) == 3
+    assert {r.class_id for r in minhash.near_duplicate_classes(frame, sketches=1, sample=1).collect()} == {0}
+
+
 def test_messy_rows(spark, messy):
     rows = minhash.near_duplicate_classes(messy).collect()
     assert len(rows) == messy.count()
