@@ -4,20 +4,19 @@ A sketch samples, under each of several hash functions, the smallest few of a te
 occurrence-labelled five-word shingles and keeps them in text order. Texts of one sample meet
 in a bucket; sampling several in order makes a chance meeting over one shared passage rare.
 
-Equal texts are one node from the start. In a bucket the texts are aligned with its leaders,
-not with each other: first with the one text that shares most codes with others, then, if that
-does not tie them, with the next three, then eight. A bucket of up to 12 texts
-so ends with each untied text aligned with all others. In a larger one, what 12 leaders leave
-untied meets again where two codes are shared, then three. Verified links become classes by
-distributed connected components. What can be missed: a link of a text that no leader of its
-buckets is tied to, to one that is tied and leads none of them.
+Equal texts are one node from the start. In a bucket the texts are first aligned with the one
+text that shares most codes with others. Buckets that then hold several components are cut
+into blocks, and every two blocks make a bounded task that aligns the pairs of different
+components. So of any two texts of a bucket, whatever its size, each pair is aligned or in one
+component already. Links become classes by distributed connected components. What can be
+missed: a link of two texts that share no bucket.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,8 +29,6 @@ SKETCHES = 16
 SAMPLE = 4
 SEED = 0x5EED
 CHUNK = 1 << 16
-# Leaders of a bucket after each round.
-LEADERS = (1, 4, 12)
 # Nodes of a block of a bucket, on average. A cell is two blocks.
 BLOCK = 64
 # Rows of cells handed back from Python at once, and their columns.
@@ -157,79 +154,28 @@ def _named(rows: DataFrame, tied: DataFrame | None, node: str, name: str) -> Dat
 
 
 def _leaders(spots: DataFrame) -> DataFrame:
-    """code, a, rank, n: the nodes of a bucket that share most codes with others, and its size.
+    """code, a: the node of a bucket that shares most codes with others.
 
     Such a text lies in the middle of its group: among copies that were each changed in their
-    own places, it is the one least changed. Ranks are cut off on the map side.
+    own places, it is the one least changed.
     """
     sizes = spots.groupBy("code").agg(F.count("*").alias("n"))
-    sized = spots.join(sizes, "code")
-    fame = sized.groupBy("node").agg(F.sum("n").alias("fame"))
-    by_fame = Window.partitionBy("code").orderBy(F.desc("fame"), "node")
-    ranked = spots.join(fame, "node").withColumn("rank", F.row_number().over(by_fame)).where(F.col("rank") <= LEADERS[-1])
-    return ranked.join(sizes, "code").select("code", F.col("node").alias("a"), "rank", "n")
+    fame = spots.join(sizes, "code").groupBy("node").agg(F.sum("n").alias("fame"))
+    first = F.min_by("node", F.struct(-F.col("fame"), F.col("node")))
+    return spots.join(fame, "node").groupBy("code").agg(first.alias("a"))
 
 
-def _meetings(untied: DataFrame, leaders: DataFrame, tied: DataFrame | None) -> DataFrame:
-    """a, b: untied nodes and the leaders of their buckets, each pair once.
+def _led(spots: DataFrame, texts: DataFrame, least: float) -> DataFrame | None:
+    """node, component of the nodes that the leaders of their buckets tie, or None.
 
-    The leaders of a bucket go as one list to each of its nodes, and a node's lists are
-    united, so a pair that meets in many buckets is written once.
+    Most copies are tied here, by one alignment each, which leaves few cells to walk.
     """
-    lists = leaders.groupBy("code").agg(F.collect_list("a").alias("leaders"))
-    met = (
-        untied.join(lists, "code")
-        .groupBy("node")
-        .agg(F.array_distinct(F.flatten(F.collect_list("leaders"))).alias("leaders"))
-        .select("node", F.explode("leaders").alias("a"))
-    )
-    apart = _named(_named(met, tied, "node", "c"), tied, "a", "d").where("c <> d")
-    return apart.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-
-
-def _rounds(spots: DataFrame, texts: DataFrame, least: float) -> DataFrame | None:
-    """node, component of all nodes that are tied to another, or None.
-
-    `spots` has node and code, one row per bucket a node is in. Each round aligns the untied
-    nodes of a bucket with its next leaders. A bucket is done when all its nodes are tied or
-    were leaders themselves. Nodes that all leaders of a large bucket leave untied meet again
-    where two codes of such buckets are shared, then three, and so on: codes are added in
-    ascending order, and only to what is still open. Pairs once aligned are not aligned again.
-    """
-    tied, tested, base = None, None, None
-    spots = spots.withColumn("last", F.col("code"))
-    while True:
-        leaders = stored(_leaders(spots), "near-leaders")
-        untied, done = spots.select("node", "code"), 0
-        for upto in LEADERS if base is None else LEADERS[-1:]:
-            now = leaders.where((F.col("rank") > done) & (F.col("rank") <= upto))
-            pairs = _meetings(untied, now, tied)
-            if tested is not None:
-                pairs = pairs.join(tested, ["a", "b"], "left_anti")
-            pairs = stored(pairs, "near-pairs")
-            tested = pairs if tested is None else tested.union(pairs)
-            if not pairs.isEmpty():
-                found = stored(_verified(pairs, texts, least), "near-links")
-                if not found.isEmpty():
-                    links = found.select(F.col("a").alias("u"), F.col("b").alias("v"))
-                    if tied is not None:
-                        links = links.union(tied.select("node", "component"))
-                    tied = stored(components(links), "near-tied")
-            done = upto
-            untied = stored(_still_untied(untied, leaders, tied, done), "near-untied")
-            if untied.isEmpty():
-                return tied
-        if base is None:
-            base = untied.select("node", F.col("code").alias("more"))
-        wider = (
-            untied.join(spots.select("node", "code", "last"), ["node", "code"])
-            .join(base, "node")
-            .where("more > last")
-            .select("node", F.xxhash64("code", "more").alias("code"), F.col("more").alias("last"))
-        )
-        spots = stored(_shared(wider), "near-spots")
-        if spots.isEmpty():
-            return tied
+    met = spots.join(_leaders(spots), "code").where("a <> node")
+    pairs = stored(met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), "near-pairs")
+    found = stored(_verified(pairs, texts, least), "near-links")
+    if found.isEmpty():
+        return None
+    return stored(components(found.select(F.col("a").alias("u"), F.col("b").alias("v"))), "near-tied")
 
 
 def _shared(spots: DataFrame) -> DataFrame:
@@ -238,16 +184,6 @@ def _shared(spots: DataFrame) -> DataFrame:
     return spots.join(shared, "code", "left_semi")
 
 
-def _still_untied(untied: DataFrame, leaders: DataFrame, tied: DataFrame | None, done: int) -> DataFrame:
-    """Spots of buckets with leaders to come, or too large for all to lead, whose node no
-    leader so far is or is tied to."""
-    used = leaders.where(F.col("rank") <= done)
-    leading = _named(used, tied, "a", "component").select("code", "component").distinct()
-    open_codes = leaders.where((F.col("rank") == 1) & (F.col("n") > done)).select("code")
-    named = _named(untied.join(open_codes, "code", "left_semi"), tied, "node", "component")
-    return named.join(leading, ["code", "component"], "left_anti").select("node", "code")
-
-
 def _cells(spots: DataFrame, tied: DataFrame | None) -> DataFrame:
     """code, low, high, side, node, component, codes: the buckets that hold several components,
     as cells of two blocks each, so that any two nodes of a bucket meet in one cell of it.
@@ -401,7 +337,7 @@ def near_duplicate_classes(
     meeting = spots.select("node").distinct().join(nodes, "node").select("node", "key", _id("least"))
     texts = whole.select("key", _id("doc_id"), "text").join(meeting, ["key", "id"]).select("node", "text")
     texts = stored(texts.dropDuplicates(["node"]), "near-texts")
-    tied = _united(spots, texts, _rounds(spots, texts, least), least)
+    tied = _united(spots, texts, _led(spots, texts, least), least)
     if tied is None:
         named = nodes.withColumn("component", F.col("node"))
     else:

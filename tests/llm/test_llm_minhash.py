@@ -128,6 +128,14 @@ def test_links_of_texts_tied_to_different_leaders(spark):
     assert {r.class_id for r in minhash.near_duplicate_classes(frame, sketches=1, sample=1).collect()} == {0}
 
 
+def test_buckets_of_any_size(spark):
+    docs = one_bucket(150)
+    shuffled = random.Random(5).sample(docs, len(docs))
+    assert len(docs) > 2 * minhash.BLOCK and set(brute(docs, 0.8).values()) == {0}
+    frame = spark.createDataFrame(shuffled, "doc_id long, text string").coalesce(1)
+    assert {r.class_id for r in minhash.near_duplicate_classes(frame, sketches=1, sample=1).collect()} == {0}
+
+
 def test_messy_rows(spark, messy):
     rows = minhash.near_duplicate_classes(messy).collect()
     assert len(rows) == messy.count()
