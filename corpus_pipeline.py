@@ -8,6 +8,7 @@ their token ids.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skyledger.llm import minhash, mixing, packing, quality, secrets
 from skyledger.llm.common import ship_package, stored, table
@@ -37,10 +38,23 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs)
 
 
+def as_written(docs: DataFrame) -> DataFrame:
+    """Rows of a table read from files, in the order they were written.
+
+    A scan reads files by their size. Part files are numbered in the order of the partitions
+    written; a partition's further files follow by name.
+    """
+    path = F.col("_metadata.file_path")
+    number = F.regexp_extract(path, r"part-(\d+)[^/]*$", 1).try_cast("long")
+    place = F.struct(number.alias("part"), path.alias("path"), F.col("_metadata.row_index").alias("row"))
+    rows = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"), place.alias("place"))
+    return rows.repartitionByRange("place").sortWithinPartitions("place").select("row.*")
+
+
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token windows: one row per piece."""
+    """Token windows in training order: one row per piece. `docs` is read from files."""
     ship_package(spark)
-    return packing.pack(docs, packing.default_tokenizer())
+    return packing.pack(as_written(docs), packing.default_tokenizer())
 
 
 STAGES = [

@@ -43,3 +43,18 @@ def test_stages(spark):
     tokens = sum(len(encoder.encode(r.text or "")) // 4 + 1 for r in results["mixing"].collect())
     assert sum(r.length for r in results["packing"].select("length").collect()) == tokens
     assert corpus_pipeline.run(spark, SF_DIR).count() == results["packing"].count()
+
+
+def test_packing_follows_the_order_written(spark):
+    """Part files of unlike size; each document fills a window of its own at once."""
+    written = spark.range(0, 4, 1, 4).selectExpr(
+        "explode(sequence(element_at(array(0, 3, 23, 24), int(id) + 1), element_at(array(2, 22, 23, 32), int(id) + 1))) AS doc_id"
+    )
+    written = written.selectExpr(
+        "doc_id", "array_join(transform(sequence(1, 1100), j -> concat('w', doc_id, 'x', j * j % 997)), ' ') AS text"
+    )
+    docs = stored(written, "test-order")
+    assert len(docs.inputFiles()) == 4
+    packed = corpus_pipeline.pack_windows(spark, docs, SF_DIR).where("start = 0 AND length = 1024")
+    assert [r.doc_id for r in packed.orderBy("sequence_id").collect()] == list(range(33))
+    assert [r.doc_id for r in corpus_pipeline.as_written(docs).collect()] == list(range(33))
