@@ -4,7 +4,19 @@ from __future__ import annotations
 
 import functools
 
-from skyledger.llm import chat, embeddings, fingerprints, licenses, minhash, mixing, packing, quality, secrets, warc
+from skyledger.llm import (
+    chat,
+    embeddings,
+    fingerprints,
+    licenses,
+    linededup,
+    minhash,
+    mixing,
+    packing,
+    quality,
+    secrets,
+    warc,
+)
 from skyledger.llm.common import ship_package
 
 
@@ -30,6 +42,7 @@ QUERIES = {
         "op8_score_quality": quality.query,
         "op9_scan_licenses": licenses.query,
         "op10_near_duplicates": minhash.query,
+        "op12_drop_repeated_lines": linededup.query,
     }.items()
 }
 
@@ -38,4 +51,5 @@ SQL = {
     "op1_mix_sources": mixing.SQL,
     "op2_fingerprint_documents": fingerprints.SQL,
     "op3_write_warc": warc.SQL,
+    "op12_drop_repeated_lines": linededup.SQL,
 }

@@ -1,0 +1,102 @@
+"""Line deduplication against plain Python: counts by batch, runs by level, texts as kept."""
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from skyledger.llm import linededup
+from skyledger.llm.linededup import BLANKS, LineRuns, Run, drop_lines, line_counts, line_key
+
+
+def key_of(line):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(BLANKS))
+
+
+def expected(texts, least):
+    held = Counter(k for t in texts for k in {key_of(line) for line in (t or "").split("\n")} if k)
+    often = {k for k, n in held.items() if n >= least}
+    out = []
+    for text in texts:
+        lines = (text or "").split("\n")
+        kept = [line for line in lines if key_of(line) not in often]
+        out.append((len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def told(frame):
+    return sorted((r.doc_id, r.lines.n_lines, r.lines.n_dropped, r.lines.kept) for r in frame.collect())
+
+
+def corpus():
+    random.seed(5)
+    common = [f"Common Line {i}" for i in range(6)]
+    texts = []
+    for i in range(120):
+        lines = [random.choice(common + ["  COMMON line 0\t", "", "\x85odd", "É", "é"]) for _ in range(random.randrange(6))]
+        lines.insert(random.randrange(len(lines) + 1), f"own {i}")
+        texts.append("\n".join(lines))
+    texts += [None, "", "\n\n", "common line 1", "same copy\ncommon line 2"] + ["same copy\ncommon line 2"] * 9
+    texts.append("\n".join(f"only here {i}" for i in range(50_000)) + "\ncommon line 3")
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("least", [1, 3, 10])
+def test_batches_against_plain_python(spark, least):
+    rows = corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    runs = LineRuns(spark, least_documents=least, buckets=4, fanout=2)
+    for batch in range(5):
+        runs.add(docs.where(F.col("doc_id") % 5 == batch))
+    assert sorted(run.level for run in runs.runs) == [0, 2]
+    want = [(i, *row) for (i, _), row in zip(rows, expected([t for _, t in rows], least), strict=True)]
+    assert told(drop_lines(docs, runs.frequent())) == sorted(want)
+
+
+def test_settled_keys_are_not_added_again_and_a_store_opens_again(spark):
+    frame = lambda *texts: spark.createDataFrame([(t,) for t in texts], "text string")
+    runs = LineRuns(spark, least_documents=2, buckets=2, fanout=3)
+    assert runs.add(frame("a\nb", "A ")).count() == 2
+    assert [r.n for r in runs.add(frame("a\nb", "c")).collect()] == [1, 1]
+    spark.sql(f"DROP TABLE {linededup._table_name(runs.runs[0])}")
+    again = LineRuns(spark, runs.root, least_documents=2, buckets=2, fanout=3)
+    assert again.runs == runs.runs and again.frequent().count() == 2
+    # A run without a manifest, as a crash leaves it, does not count.
+    again._write(line_counts(frame("z", "z")), 0)
+    assert LineRuns(spark, runs.root, least_documents=2, buckets=2).frequent().count() == 2
+
+
+def test_runs_are_not_shuffled_when_a_batch_comes(spark):
+    runs = LineRuns(spark, buckets=5, fanout=9)
+    docs = spark.createDataFrame([("a\nb",)], "text string")
+    runs.add(docs)
+    runs.add(docs)
+    left = line_counts(docs).repartition(5, "h1", "h2")
+    for run in runs.runs:
+        left = left.join(runs._settled(run), ["h1", "h2"], "left_anti")
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # the batch's sum, and its buckets
+    assert "Bucketed: true" in plan and "Python" not in plan
+
+
+def test_messy_rows(spark, messy, empty):
+    docs = messy.withColumnRenamed("kind", "n").selectExpr("*", "'c' as lines", "'c' as dropped", "1 as h1", "2 as t0")
+    runs = LineRuns(spark, least_documents=2)
+    runs.add(docs)
+    rows = drop_lines(docs, runs.frequent()).collect()
+    texts = [r.text for r in docs.collect()]
+    assert sorted((r.lines.n_lines, r.lines.n_dropped, r.lines.kept) for r in rows) == sorted(expected(texts, 2))
+    assert set(rows[0].asDict()) == set(docs.columns)
+    assert drop_lines(empty, runs.frequent()).count() == 0
+    nothing = LineRuns(spark)
+    assert nothing.frequent().count() == 0 and nothing.add(empty).count() == 0 and nothing.frequent().count() == 0
+    assert nothing.runs and isinstance(nothing.runs[0], Run)
+    with pytest.raises(ValueError, match="at least one"):
+        LineRuns(spark, fanout=1)
+
+
+def test_key(spark):
+    odd = ["  Ab\x0b ", " x", "ÀB", "", "\t", "a b"]
+    rows = spark.createDataFrame([(o,) for o in odd], "l string").select(line_key(F.col("l")).alias("k")).collect()
+    assert [r.k for r in rows] == [key_of(o) for o in odd]
