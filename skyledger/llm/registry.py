@@ -14,7 +14,9 @@ from skyledger.llm import (
     mixing,
     packing,
     quality,
+    repair,
     secrets,
+    vectorcodes,
     warc,
 )
 from skyledger.llm.common import ship_package
@@ -42,7 +44,9 @@ QUERIES = {
         "op8_score_quality": quality.query,
         "op9_scan_licenses": licenses.query,
         "op10_near_duplicates": minhash.query,
+        "op11_repair_conversations": repair.query,
         "op12_drop_repeated_lines": linededup.query,
+        "op13_compress_vectors": vectorcodes.query,
     }.items()
 }
 
@@ -51,5 +55,7 @@ SQL = {
     "op1_mix_sources": mixing.SQL,
     "op2_fingerprint_documents": fingerprints.SQL,
     "op3_write_warc": warc.SQL,
+    "op11_repair_conversations": repair.SQL,
     "op12_drop_repeated_lines": linededup.SQL,
+    "op13_compress_vectors": vectorcodes.SQL,
 }
