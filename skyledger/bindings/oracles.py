@@ -6,7 +6,7 @@ the expected columns straight from `events`, so they also check the way through
 
 from __future__ import annotations
 
-from skyledger.bindings.queries import AS_OF, LEDGER_CUT, RANGE, WANTED_PACKAGE
+from skyledger.bindings.queries import AS_OF, LEDGER_CUT, RANGE, SERIES_DAY, WANTED_PACKAGE
 
 _BLANKS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]+"
 
@@ -557,6 +557,29 @@ def oracle_sql() -> dict[str, str]:
             f"(SELECT * FROM summary WHERE end_time <= {_AT} ORDER BY end_time DESC, ord DESC LIMIT 1) su",
             f"recent AS (SELECT * FROM alerts WHERE timestamp <= {_AT} ORDER BY timestamp DESC, e DESC, pos DESC LIMIT 10)",
         ),
+        "package_series": _station(
+            "SELECT 'package_' || strftime(moment, '%Y%m%d_%H%M%S') || '.json' AS file_name, "
+            "strftime(moment, '%Y-%m-%dT%H:%M:%SZ') AS package_timestamp, co.collector_id, "
+            "strftime(en.timestamp, '%Y-%m-%dT%H:%M:%SZ') AS environment_time, en.temperature, en.dome_open, "
+            "li.pass_id AS link_pass, li.qber, su.pass_id AS summary_pass, su.keys_distilled, "
+            "CAST(coalesce(len(al.told), 0) AS INTEGER) AS alert_count, "
+            "coalesce(array_to_string(list_reverse(al.told), ';'), '') AS alerts, pl.planned FROM moments "
+            "ASOF LEFT JOIN en ON moment >= en.timestamp ASOF LEFT JOIN li ON moment >= li.timestamp "
+            "ASOF LEFT JOIN su ON moment >= su.end_time ASOF LEFT JOIN al ON moment >= al.timestamp "
+            "ASOF LEFT JOIN pl ON moment >= pl.generated_at ASOF LEFT JOIN co ON moment >= co.delivered",
+            f"moments AS (SELECT unnest(generate_series(TIMESTAMP '{SERIES_DAY[0]}', TIMESTAMP '{SERIES_DAY[1]}', "
+            "INTERVAL 10 SECOND)) AS moment)",
+            "en AS (SELECT * FROM environment QUALIFY row_number() OVER (PARTITION BY timestamp ORDER BY ord DESC) = 1)",
+            "li AS (SELECT * FROM link QUALIFY row_number() OVER (PARTITION BY timestamp ORDER BY ord DESC) = 1)",
+            "su AS (SELECT * FROM summary QUALIFY row_number() OVER (PARTITION BY end_time ORDER BY ord DESC) = 1)",
+            "al AS (SELECT timestamp, list(strftime(timestamp, '%Y-%m-%dT%H:%M:%SZ') || ' ' || description) OVER "
+            "(ORDER BY timestamp, e, pos ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS told FROM alerts "
+            "QUALIFY row_number() OVER (PARTITION BY timestamp ORDER BY e DESC, pos DESC) = 1)",
+            "pl AS (SELECT generated_at, string_agg(pass_id || ' ' || strftime(start_time, '%Y-%m-%dT%H:%M:%SZ'), ';' "
+            "ORDER BY pos) AS planned FROM schedule_rows GROUP BY generated_at, e "
+            "QUALIFY row_number() OVER (PARTITION BY generated_at ORDER BY e DESC) = 1)",
+            "co AS (SELECT collector_id, delivered FROM packages WHERE e > 0)",
+        ),
         "table_stats": f"WITH {_lines()},\n{_PACKAGES}\n"
         + " UNION ALL ".join(
             f"SELECT '{name}' AS table_name, count(*) AS records FROM {cte}" for name, cte in counts.items()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from skyledger.bindings import stand_ins
 from skyledger.operators import assemble, keypool, quality, station
+from skyledger.operators.asof import Series
 from skyledger.plans import export, panels, views
 from skyledger.schemas import FILE_LEDGER_COLUMNS, KEYPOOL_TABLES, STATION_TABLES
 from skyledger.session import scratch_folder
@@ -35,6 +36,7 @@ LEDGER_CUT = "2024-01-16 12:00:00"
 AS_OF = "2024-01-16 00:00:00"
 RANGE = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
 WANTED_PACKAGE = "package_20240101_000500.json"
+SERIES_DAY = ("2024-01-15 00:00:00", "2024-01-15 23:59:50")
 
 
 def query(function: Query) -> Query:
@@ -354,7 +356,20 @@ def package_assemble(spark, sf_dir):
         tables["environment"], tables["link"], tables["summary"], tables["alerts"],
         tables["schedule"], tables["collector"], AS_OF,
     )
-    package = parse_documents(document.withColumn("ord", F.lit(0)))
+    return _package_summary(document)
+
+
+@query
+def package_series(spark, sf_dir):
+    """The documents of every ten seconds of a day, each as of its moment, read back."""
+    tables = _station_tables(spark, sf_dir)
+    names = ("environment", "link", "summary", "alerts", "schedule", "collector")
+    documents = assemble.package_series(*map(tables, names), Series(*SERIES_DAY))
+    return _package_summary(documents)
+
+
+def _package_summary(documents: DataFrame) -> DataFrame:
+    package = parse_documents(documents.withColumn("ord", F.lit(0)))
     alerts, plan = F.col("alerts.alerts"), F.col("schedule.scheduled_passes")
     return package.select(
         "file_name",

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.operators.asof import MOMENT, Series, Stream, asof, last_rows
 from skyledger.schemas import (
     ALERT_COLUMNS,
     ENVIRONMENT_COLUMNS,
     LINK_COLUMNS,
     SCHEDULED_PASS_COLUMNS,
+    SECTIONS,
     SUMMARY_COLUMNS,
     Mapping,
 )
@@ -154,23 +156,77 @@ def snapshot(
         "alerts": alerts_section(items),
         "schedule": _newest_plan(_upto(schedule, "generated_at", moment)),
     }
-    status = _newest(
-        _upto(collector, "last_fetch", moment),
-        "last_fetch",
-        F.struct("collector_id", "ogs_provider", "collector_status", "last_fetch", "total_fetches"),
-    )
+    status = _newest(_upto(collector, "last_fetch", moment), "last_fetch", _status())
     base = spark.range(1).select(
-        moment.alias("moment"),
+        moment.alias(MOMENT),
         status.alias("status"),
         *[section.alias(name) for name, section in sections.items()],
     )
-    document = package_document(
-        document_time(F.col("moment")),
+    return base.select(file_name(F.col(MOMENT)).alias("file_name"), _written().alias("document"))
+
+
+def _status() -> Column:
+    return F.struct("collector_id", "ogs_provider", "collector_status", "last_fetch", "total_fetches")
+
+
+def _written() -> Column:
+    """The document of a row of sections, collector status and moment."""
+    return package_document(
+        document_time(F.col(MOMENT)),
         F.col("status.collector_id"),
         F.col("status.ogs_provider"),
-        {name: F.col(name) for name in sections},
+        {name: F.col(name) for name in SECTIONS},
         F.col("status.collector_status"),
         document_time(F.col("status.last_fetch")),
         F.col("status.total_fetches"),
     )
-    return base.select(file_name(F.col("moment")).alias("file_name"), document.alias("document"))
+
+
+def plans(schedule: DataFrame, by: list[str] = ()) -> DataFrame:
+    """One row per plan that has passes: generated_at, ord, and the section with its passes in
+    their order. A plan is what one delivery brought at one time."""
+    passes = F.array_sort(F.collect_list(F.struct(F.col("ord.pos").alias("pos"), planned_pass().alias("planned"))))
+    key = [*by, "generated_at", F.col("ord.delivery_ord").alias("delivery")]
+    gathered = schedule.groupBy(*key).agg(
+        F.min_by("ogs_id", "ord").alias("ogs_id"), F.transform(passes, lambda p: p["planned"]).alias("passes")
+    )
+    section = schedule_section(F.col("ogs_id"), F.col("generated_at"), F.col("passes"))
+    return gathered.select(*by, "generated_at", F.col("delivery").alias("ord"), section.alias("section"))
+
+
+def package_series(
+    environment: DataFrame,
+    link: DataFrame,
+    summaries: DataFrame,
+    stored_alerts: DataFrame,
+    schedule: DataFrame,
+    collector: DataFrame,
+    series: Series,
+    stations: DataFrame | None = None,
+    buffer: int = 10,
+) -> DataFrame:
+    """The packages a collector would write at each moment of a series, as `snapshot` does for
+    one: (station columns,) moment, file_name, document.
+
+    `stations` has one row per station; all inputs then have its columns, and each station has
+    documents of its own. Without it there is one station, whose rows need no mark.
+    """
+    if stations is None:
+        stations = environment.sparkSession.range(1).select()
+    by = stations.columns
+    alerts = last_rows(series, stored_alerts, "timestamp", alert_item(), buffer, stations)
+    found = asof(
+        series,
+        {
+            "environment": Stream(environment, "timestamp", environment_section()),
+            "link": Stream(link, "timestamp", link_section()),
+            "summary": Stream(summaries, "end_time", summary_section()),
+            "recent": alerts,
+            "schedule": Stream(plans(schedule, by), "generated_at", F.col("section")),
+            "status": Stream(collector, "last_fetch", _status()),
+        },
+        stations,
+    )
+    no_alerts = F.array().cast(found.schema["recent"].dataType)
+    told = found.withColumn("alerts", alerts_section(F.coalesce("recent", no_alerts)))
+    return told.select(*by, MOMENT, file_name(F.col(MOMENT)).alias("file_name"), _written().alias("document"))
