@@ -396,7 +396,7 @@ def oracle_sql() -> dict[str, str]:
         "ogs_pass_summary": "passes", "ogs_alerts": "alerts", "ogs_pass_schedule": "schedule",
         "ogs_processed_packages": "ledger",
     }
-    return {
+    twins = {
         "log_classify_counts": _log(
             "SELECT coalesce(log_type, 'NO_ENTRY') AS log_type, count(*) AS lines FROM entries GROUP BY 1"
         ),
@@ -585,3 +585,11 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT '{name}' AS table_name, count(*) AS records FROM {cte}" for name, cte in counts.items()
         ),
     }
+    # Streamed forms of the batch queries give the same rows.
+    same = {
+        "stream_latest_environment": "latest_environment", "stream_latest_link": "latest_link",
+        "stream_qber_latest": "qber_latest_band", "stream_dome_status": "dome_status_now",
+        "stream_recent_alerts": "recent_alerts_coloured", "stream_alert_buffer": "recent_alert_buffer",
+        "stream_active_alerts": "active_alerts",
+    }
+    return twins | {streamed: twins[batch] for streamed, batch in same.items()}

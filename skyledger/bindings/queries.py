@@ -19,12 +19,14 @@ from skyledger.sources.packages import package_line_batch, parse_documents, stre
 from skyledger.sources.tables import read_table, write_by_day
 from skyledger.streaming.ingest import (
     compact,
+    entered_alerts,
     keypool_table,
     package_ledger,
     station_table,
     store_log_batch,
     store_package_batch,
 )
+from skyledger.streaming.newest import newest_rows
 from skyledger.streaming.service import start_ingest
 from skyledger.streaming.warehouse import Warehouse
 
@@ -569,3 +571,28 @@ _streamed("stream_compact_schedule", "ogs_pass_schedule", compacted=True)
 def stream_package_ledger(spark, sf_dir):
     """The package ledger after the streaming pipeline has run."""
     return package_ledger(_package_stream(spark, sf_dir), spark)
+
+
+# Views and panels of the newest rows, from the states the pipeline keeps for them.
+
+
+def _newest_view(name: str, table: str, view: Callable[[DataFrame], DataFrame]) -> None:
+    def read(spark, sf_dir):
+        return view(newest_rows(_package_stream(spark, sf_dir), spark, table))
+
+    read.__name__, read.__doc__ = name, f"{view.__name__} over the newest rows of {table} kept by the streaming pipeline."
+    query(read)
+
+
+_newest_view("stream_latest_environment", "ogs_environment_data", views.latest_environment)
+_newest_view("stream_latest_link", "ogs_link_data", views.latest_link)
+_newest_view("stream_qber_latest", "ogs_link_data", panels.latest_qber)
+_newest_view("stream_dome_status", "ogs_environment_data", panels.dome_status)
+_newest_view("stream_recent_alerts", "ogs_alerts", panels.recent_alerts)
+_newest_view("stream_alert_buffer", "ogs_alerts", station.recent_alert_buffer)
+
+
+@query
+def stream_active_alerts(spark, sf_dir):
+    """The active alerts from the days they were stored by, with nothing folded."""
+    return views.active_alerts(entered_alerts(_package_stream(spark, sf_dir), spark), AS_OF)

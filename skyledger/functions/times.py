@@ -45,7 +45,11 @@ def in_range(moment: Column, start, end) -> Column:
     return moment.between(as_moment(start), as_moment(end))
 
 
+def reference_moment(as_of=None) -> Column:
+    """`as_of`, or now."""
+    return utc_now() if as_of is None else as_moment(as_of)
+
+
 def in_last_day(moment: Column, as_of=None) -> Column:
     """Strictly newer than 24 hours before `as_of` (default: now)."""
-    reference = utc_now() if as_of is None else as_moment(as_of)
-    return moment > reference - F.expr("INTERVAL 24 HOURS")
+    return moment > reference_moment(as_of) - F.expr("INTERVAL 24 HOURS")

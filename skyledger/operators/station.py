@@ -24,6 +24,9 @@ from skyledger.schemas import (
 CHECKED_SECTIONS = ["environment", "link", "summary", "alerts"]
 DELIVERY = "delivery_ord"
 
+# Fixed value: alerts a package carries.
+BUFFERED_ALERTS = 10
+
 
 def _flat(section: str, mappings: list[Mapping]) -> list[Column]:
     columns = []
@@ -314,7 +317,7 @@ def alerts(
     return fold(linked, UPSERT_KEYS["ogs_alerts"], collation=collation, with_order=with_order)
 
 
-def recent_alert_buffer(stored: DataFrame, size: int = 10) -> DataFrame:
+def recent_alert_buffer(stored: DataFrame, size: int = BUFFERED_ALERTS) -> DataFrame:
     """The newest alerts, newest first, with their number."""
     newest = stored.orderBy(F.desc("timestamp"), F.desc("ord")).limit(size).drop("ord")
     # The window spans the limited rows only.

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions.display import pool_type_rank
-from skyledger.functions.times import in_last_day, in_range
+from skyledger.functions.times import in_last_day, in_range, reference_moment
 from skyledger.sources.tables import DAY
 
 # Row limits of the latest-N views.
@@ -104,9 +104,13 @@ def recent_passes(pass_summary: DataFrame) -> DataFrame:
 
 
 def active_alerts(alerts: DataFrame, as_of=None) -> DataFrame:
-    """Alerts of the last 24 hours before `as_of`, newest first."""
+    """Alerts of the last 24 hours before `as_of`, newest first; of a table cut by day the
+    days before are not listed."""
+    recent = alerts.where(in_last_day(F.col("timestamp"), as_of))
+    if DAY in alerts.columns:
+        recent = recent.where(F.col(DAY) >= F.date_sub(F.to_date(reference_moment(as_of)), 1))
     return (
-        alerts.where(in_last_day(F.col("timestamp"), as_of))
+        recent
         .orderBy(F.desc("timestamp"), F.desc("ord"))
         .select(*ACTIVE_ALERT_COLUMNS)
     )

@@ -9,17 +9,19 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.functions.rows import spread_key
+from skyledger.functions.rows import collated, spread_key
 from skyledger.functions.times import package_time
 from skyledger.operators import keypool, station
-from skyledger.operators.fold import FIRST_ORD, KEY
+from skyledger.operators.fold import FIRST_ORD, KEY, LAST_ORD, fold
 from skyledger.schemas import FILE_LEDGER_COLUMNS, SECTIONS, UPSERT_KEYS, UPSERT_REPLACES
 from skyledger.sources.logs import with_arrival_order
-from skyledger.sources.tables import DAY
+from skyledger.sources.tables import DAY, by_day
+from skyledger.streaming.newest import merge_newest
 from skyledger.streaming.warehouse import BATCH, KeyedTable, Warehouse, without_batch
 
 NO_ENTRY = "NO_ENTRY"
 PACKAGE_DAY = "package_date"
+ENTERED_ALERTS = "entered_alerts"
 
 
 # ---------------------------------------------------------------- key pool
@@ -156,10 +158,12 @@ def store_package_batch(warehouse: Warehouse, packages: DataFrame, batch_id: int
         ),
         lambda: warehouse.write_by_day(station.link_rows(fresh), "ogs_link_data", batch_id, "timestamp"),
         lambda: warehouse.write(station.summary_rows(fresh), "ogs_pass_summary", batch_id),
-        lambda: warehouse.write(
-            accepted_alerts(warehouse, deliveries, ledger, fresh, batch_id), "ogs_alerts", batch_id
+        lambda: store_alerts(
+            warehouse, accepted_alerts(warehouse, deliveries, ledger, fresh, batch_id), batch_id
         ),
         lambda: warehouse.write(station.schedule_rows(fresh), "ogs_pass_schedule", batch_id),
+        lambda: merge_newest(warehouse, station.environment_rows(fresh), "ogs_environment_data", batch_id),
+        lambda: merge_newest(warehouse, station.link_rows(fresh), "ogs_link_data", batch_id),
     )
     done = (
         station.package_status(deliveries)
@@ -193,6 +197,34 @@ def accepted_alerts(
     return station.linked_alerts(station.offered_alerts(deliveries, known), passes, warehouse.collation)
 
 
+def store_alerts(warehouse: Warehouse, accepted: DataFrame, batch_id: int) -> None:
+    """Store a batch of accepted alerts, and those of them that are in the table from now on.
+
+    The table keeps the first alert of an id. Which one that is shows when it arrives, so the
+    alerts that enter the table are stored by day and merged into the newest ones; a view of
+    them folds nothing. Of earlier batches only the ids are read, and only the batch's own ids
+    leave the join.
+    """
+    spark = accepted.sparkSession
+    stored = warehouse.write(accepted, "ogs_alerts", batch_id)
+    first = fold(
+        stored.drop(station.DELIVERY), UPSERT_KEYS["ogs_alerts"], collation=warehouse.collation, with_order=True
+    ).withColumnRenamed(FIRST_ORD, "ord").drop(LAST_ORD)
+    key = collated(F.col("alert_id"), warehouse.collation).alias(KEY)
+    earlier = warehouse.read(spark, "ogs_alerts").where(F.col(BATCH) < batch_id).select(key)
+    known = earlier.join(first.select(key), KEY, "left_semi").distinct()
+    entering = first.withColumn(KEY, key).join(known, KEY, "left_anti").drop(KEY)
+    warehouse.write_by_day(entering, ENTERED_ALERTS, batch_id, "timestamp")
+    written = spark.read.schema(by_day(entering).schema).parquet(warehouse.folder(ENTERED_ALERTS, batch_id))
+    merge_newest(warehouse, written.drop(DAY), "ogs_alerts", batch_id)
+
+
+def entered_alerts(warehouse: Warehouse, spark: SparkSession) -> DataFrame | None:
+    """The alerts of the table, cut by day, each as it entered."""
+    rows = warehouse.read(spark, ENTERED_ALERTS)
+    return None if rows is None else rows.drop(BATCH)
+
+
 def package_ledger(warehouse: Warehouse, spark: SparkSession) -> DataFrame | None:
     """One row per package over all batches."""
     rows = warehouse.read(spark, "ogs_processed_packages")
