@@ -590,6 +590,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_latest_environment": "latest_environment", "stream_latest_link": "latest_link",
         "stream_qber_latest": "qber_latest_band", "stream_dome_status": "dome_status_now",
         "stream_recent_alerts": "recent_alerts_coloured", "stream_alert_buffer": "recent_alert_buffer",
-        "stream_active_alerts": "active_alerts",
+        "stream_active_alerts": "active_alerts", "stream_key_summary": "key_creation_summary",
+        "stream_daily_production": "daily_key_production", "stream_latency_stats": "latency_stats",
     }
     return twins | {streamed: twins[batch] for streamed, batch in same.items()}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.bindings import stand_ins
@@ -20,13 +20,16 @@ from skyledger.sources.tables import read_table, write_by_day
 from skyledger.streaming.ingest import (
     compact,
     entered_alerts,
+    entries_as_stream,
     keypool_table,
     package_ledger,
     station_table,
     store_log_batch,
     store_package_batch,
 )
+from skyledger.streaming import rollups
 from skyledger.streaming.newest import newest_rows
+from skyledger.streaming.rollups import compact_daily, daily_table, store_key_changes
 from skyledger.streaming.service import start_ingest
 from skyledger.streaming.warehouse import Warehouse
 
@@ -471,15 +474,19 @@ def log_file_scan(spark, sf_dir):
 def _write_log_files(spark: SparkSession, sf_dir: str) -> str:
     """The log lines as a landing folder, one folder per log, parts in line order."""
     path = scratch_folder(spark, "logs")
+    _write_log_lines(stand_ins.log_lines(spark, sf_dir), path)
+    return path
+
+
+def _write_log_lines(lines: DataFrame, path: str) -> None:
     (
-        stand_ins.log_lines(spark, sf_dir)
-        .repartitionByRange("ord")
+        lines.repartitionByRange("ord")
         .sortWithinPartitions("log_file", "ord")
         .select("log_file", "value")
-        .write.partitionBy("log_file")
+        .write.mode("append")
+        .partitionBy("log_file")
         .text(path)
     )
-    return path
 
 
 # ---------------------------------------------------------------- streams
@@ -507,6 +514,33 @@ def _log_stream(spark: SparkSession, sf_dir: str) -> Warehouse:
     return _once(spark, sf_dir, "logs", run)
 
 
+def _rollup_run(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The daily views after three landings of log files, in the order of their names, each
+    taken in and rolled up before the next; most keys repeat from one to the next."""
+
+    def run() -> Warehouse:
+        root = scratch_folder(spark, "stream")
+        warehouse = Warehouse(f"{root}/tables")
+        lines = stand_ins.log_lines(spark, sf_dir)
+        third = F.ntile(3).over(Window.partitionBy().orderBy("log_file"))
+        thirds = lines.select("log_file").distinct().withColumn("third", third)
+        for number in (1, 2, 3):
+            part = lines.join(thirds.where(F.col("third") == number), "log_file", "left_semi")
+            _write_log_lines(part, f"{root}/landing")
+            landed = stream_log_lines(spark, f"{root}/landing", max_files=10_000, glob=None, folder="log_file")
+            start_ingest(landed, store_log_batch, warehouse, f"{root}/progress", "keypool").awaitTermination()
+            changes = entries_as_stream(warehouse, spark, max_files=10_000)
+            rolled = start_ingest(
+                changes, store_key_changes, warehouse, f"{root}/rollup-progress", "rollups", mode="update"
+            )
+            rolled.awaitTermination()
+            if number == 2:
+                compact_daily(warehouse, spark)
+        return warehouse
+
+    return _once(spark, sf_dir, "rollups", run)
+
+
 def _store_merged(warehouse: Warehouse, lines: DataFrame, batch_id: int) -> None:
     store_package_batch(warehouse, package_line_batch(lines), batch_id)
 
@@ -596,3 +630,19 @@ _newest_view("stream_alert_buffer", "ogs_alerts", station.recent_alert_buffer)
 def stream_active_alerts(spark, sf_dir):
     """The active alerts from the days they were stored by, with nothing folded."""
     return views.active_alerts(entered_alerts(_package_stream(spark, sf_dir), spark), AS_OF)
+
+
+# The daily views, from the tables that each micro-batch brings up to date.
+
+
+def _daily_view(name: str, table: str, view: Callable[[DataFrame], DataFrame]) -> None:
+    def read(spark, sf_dir):
+        return view(daily_table(_rollup_run(spark, sf_dir), spark, table))
+
+    read.__name__, read.__doc__ = name, f"{view.__name__} as kept from changes by the rollup pipeline."
+    query(read)
+
+
+_daily_view("stream_key_summary", rollups.SUMMARY.name, rollups.key_creation_summary)
+_daily_view("stream_daily_production", rollups.PRODUCTION.name, rollups.daily_key_production)
+_daily_view("stream_latency_stats", rollups.LATENCY, rollups.latency_stats)

@@ -17,12 +17,16 @@ class PipelineSettings:
 
 @dataclass(frozen=True)
 class Settings:
-    """A whole deployment. `warehouse` holds every table, `checkpoints` the progress."""
+    """A whole deployment. `warehouse` holds every table, `checkpoints` the progress.
+
+    `rollups` reads what `keypool` has stored and keeps its daily views.
+    """
 
     warehouse: str
     checkpoints: str
     keypool: PipelineSettings
     station: PipelineSettings
+    rollups: PipelineSettings
     collation: str | None = None
 
 
@@ -31,11 +35,12 @@ KEYPOOL_INTERVAL = "30 seconds"
 STATION_INTERVAL = "15 seconds"
 
 
-def default_settings(root: str, keypool: bool = True, station: bool = True) -> Settings:
+def default_settings(root: str, keypool: bool = True, station: bool = True, rollups: bool = False) -> Settings:
     """The usual folder layout below one root."""
     return Settings(
         warehouse=f"{root}/tables",
         checkpoints=f"{root}/progress",
         keypool=PipelineSettings(f"{root}/landing/logs", KEYPOOL_INTERVAL, keypool),
         station=PipelineSettings(f"{root}/landing/packages", STATION_INTERVAL, station),
+        rollups=PipelineSettings(f"{root}/tables", KEYPOOL_INTERVAL, rollups),
     )

@@ -21,6 +21,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.scheduler.mode": "FAIR",
+    # Streaming state grows with the keys, so it is kept on disk and not in the heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

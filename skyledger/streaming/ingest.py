@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger.functions.rows import collated, spread_key
 from skyledger.functions.times import package_time
@@ -17,11 +18,14 @@ from skyledger.schemas import FILE_LEDGER_COLUMNS, SECTIONS, UPSERT_KEYS, UPSERT
 from skyledger.sources.logs import with_arrival_order
 from skyledger.sources.tables import DAY, by_day
 from skyledger.streaming.newest import merge_newest
+from skyledger.streaming.rollups import store_latency, stream_key_changes
 from skyledger.streaming.warehouse import BATCH, KeyedTable, Warehouse, without_batch
 
 NO_ENTRY = "NO_ENTRY"
+ENTRIES = "log_entries"
 PACKAGE_DAY = "package_date"
 ENTERED_ALERTS = "entered_alerts"
+ENTRY_FOLDERS = ("log_type", DAY)
 
 
 # ---------------------------------------------------------------- key pool
@@ -37,15 +41,8 @@ def store_log_batch(warehouse: Warehouse, lines: DataFrame, batch_id: int) -> No
     """
     ordered = with_arrival_order(lines)
     arrived = ordered.withColumn("ord", arrival(batch_id, "ord.*"))
-    entries = keypool.parse_lines(arrived)
-    shaped = entries.withColumns(
-        {
-            "raw_line": F.when(F.col("reject_reason").isNotNull(), F.col("raw_line")),
-            "log_type": F.coalesce("log_type", F.lit(NO_ENTRY)),
-            DAY: F.to_date("timestamp"),
-        }
-    )
-    stored = warehouse.write(shaped, "log_entries", batch_id, "log_type", DAY)
+    stored = warehouse.write(_shaped_entries(arrived), ENTRIES, batch_id, *ENTRY_FOLDERS)
+    store_latency(warehouse, keypool.stored_rows(stored, "sync_latency_metrics"), batch_id)
     parts = (
         arrived.groupBy(F.col("log_file").alias("filename"), F.col("ord.part").alias("part"))
         .agg(F.max("file_size").alias("file_size"), F.min("ord").alias("ord"))
@@ -56,6 +53,30 @@ def store_log_batch(warehouse: Warehouse, lines: DataFrame, batch_id: int) -> No
     warehouse.write(keypool.ledger_rows(stats), "processed_files", batch_id)
 
 
+def _shaped_entries(lines: DataFrame) -> DataFrame:
+    """Parsed lines as they are stored: the text is kept of rejected ones alone."""
+    return keypool.parse_lines(lines).withColumns(
+        {
+            "raw_line": F.when(F.col("reject_reason").isNotNull(), F.col("raw_line")),
+            "log_type": F.coalesce("log_type", F.lit(NO_ENTRY)),
+            DAY: F.to_date("timestamp"),
+        }
+    )
+
+
+def entries_as_stream(warehouse: Warehouse, spark: SparkSession, max_files: int) -> DataFrame:
+    """The changes of keys that stored entries make, as a stream over them. The folder is
+    made where no batch has made it yet, as a stream needs one to look at."""
+    line = spark.createDataFrame([], "value string, log_file string, file_size long, part string, block_start long")
+    rows = with_arrival_order(line)
+    shaped = _shaped_entries(rows.withColumn("ord", arrival(0, "ord.*")))
+    if warehouse.read(spark, ENTRIES) is None:
+        warehouse.write(shaped, ENTRIES, -1, *ENTRY_FOLDERS)
+    plain = [f for f in shaped.schema.fields if f.name not in ENTRY_FOLDERS]
+    folders = [T.StructField(BATCH, T.LongType()), *[shaped.schema[name] for name in ENTRY_FOLDERS]]
+    return stream_key_changes(spark, warehouse, T.StructType(plain + folders), max_files)
+
+
 def arrival(batch_id: int, *order: str) -> Column:
     """Arrival order in a stream: by batch, then by the order within it."""
     return F.struct(F.lit(batch_id).cast("long").alias("arrival"), *order)
@@ -75,7 +96,7 @@ def mark_empty_files(warehouse: Warehouse, catalogue: DataFrame) -> DataFrame:
 
 def stored_entries(warehouse: Warehouse, spark: SparkSession) -> DataFrame | None:
     """Everything the key-pool pipeline has parsed."""
-    entries = warehouse.read(spark, "log_entries")
+    entries = warehouse.read(spark, ENTRIES)
     if entries is None:
         return None
     return entries.withColumn("log_type", F.nullif("log_type", F.lit(NO_ENTRY)))
@@ -151,6 +172,8 @@ def store_package_batch(warehouse: Warehouse, packages: DataFrame, batch_id: int
     fresh = warehouse.write(
         without_stored_sections(settled, deliveries, ledger, batch_id), "settled_packages", batch_id
     )
+    # Earlier batches are listed before the writes start: those replace what a failed run left.
+    accepted = accepted_alerts(warehouse, deliveries, ledger, fresh, batch_id)
     in_parallel(
         spark,
         lambda: warehouse.write_by_day(
@@ -158,9 +181,7 @@ def store_package_batch(warehouse: Warehouse, packages: DataFrame, batch_id: int
         ),
         lambda: warehouse.write_by_day(station.link_rows(fresh), "ogs_link_data", batch_id, "timestamp"),
         lambda: warehouse.write(station.summary_rows(fresh), "ogs_pass_summary", batch_id),
-        lambda: store_alerts(
-            warehouse, accepted_alerts(warehouse, deliveries, ledger, fresh, batch_id), batch_id
-        ),
+        lambda: store_alerts(warehouse, accepted, batch_id),
         lambda: warehouse.write(station.schedule_rows(fresh), "ogs_pass_schedule", batch_id),
         lambda: merge_newest(warehouse, station.environment_rows(fresh), "ogs_environment_data", batch_id),
         lambda: merge_newest(warehouse, station.link_rows(fresh), "ogs_link_data", batch_id),

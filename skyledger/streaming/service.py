@@ -13,13 +13,18 @@ from pyspark.sql.streaming import StreamingQuery
 from skyledger.config import Settings
 from skyledger.sources.logs import stream_log_lines
 from skyledger.sources.packages import stream_packages
-from skyledger.streaming.ingest import compact, store_log_batch, store_package_batch
+from skyledger.streaming.ingest import compact, entries_as_stream, store_log_batch, store_package_batch
+from skyledger.streaming.rollups import compact_daily, store_key_changes
 from skyledger.streaming.warehouse import Warehouse
 
 # Attempts after a failure and the pause between them.
 ATTEMPTS = 3
 PAUSE_SECONDS = 2
 
+# The pipelines that take in what lands, and those that read what these have stored.
+LANDINGS, VIEWS = ("keypool", "station"), ("rollups",)
+PIPELINES = LANDINGS + VIEWS
+
 StoreBatch = Callable[[Warehouse, DataFrame, int], None]
 
 
@@ -30,6 +35,7 @@ def start_ingest(
     checkpoint: str,
     name: str,
     interval: str | None = None,
+    mode: str = "append",
 ) -> StreamingQuery:
     """Start one pipeline. Without an interval it takes what is there and ends."""
     # Each pipeline has its own pool, so a long batch of one does not hold up the other. A
@@ -38,6 +44,7 @@ def start_ingest(
     pool = context.getLocalProperty("spark.scheduler.pool")
     writer = (
         stream.writeStream.queryName(name)
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(lambda batch, batch_id: store(warehouse, batch, batch_id))
     )
@@ -75,11 +82,15 @@ class IngestService:
 
     def _start(self, name: str, continuous: bool) -> StreamingQuery:
         pipeline = getattr(self.settings, name)
-        source, store = {
-            "keypool": (stream_log_lines, store_log_batch),
-            "station": (stream_packages, store_package_batch),
-        }[name]
-        stream = source(self.spark, pipeline.landing, pipeline.max_files_per_trigger)
+        files = pipeline.max_files_per_trigger
+        if name == "rollups":
+            stream, store = entries_as_stream(self.warehouse, self.spark, files), store_key_changes
+        else:
+            source, store = {
+                "keypool": (stream_log_lines, store_log_batch),
+                "station": (stream_packages, store_package_batch),
+            }[name]
+            stream = source(self.spark, pipeline.landing, files)
         return start_ingest(
             stream,
             store,
@@ -87,11 +98,12 @@ class IngestService:
             f"{self.settings.checkpoints}/{name}",
             name,
             pipeline.interval if continuous else None,
+            "update" if name == "rollups" else "append",
         )
 
-    def start(self, continuous: bool = True) -> dict[str, StreamingQuery]:
+    def start(self, continuous: bool = True, names: tuple[str, ...] = PIPELINES) -> dict[str, StreamingQuery]:
         """Start every enabled pipeline. One that cannot start does not stop the others."""
-        for name in ("keypool", "station"):
+        for name in names:
             if not getattr(self.settings, name).enabled:
                 continue
             try:
@@ -140,23 +152,29 @@ class IngestService:
 
     def run_available(self, attempts: int = ATTEMPTS) -> None:
         """Take in what has landed. A failed pipeline restarts from its checkpoint, which
-        replays the failed batch; what it has already written is replaced."""
-        self.start(continuous=False)
-        for name in list(self.queries):
-            for attempt in range(1, attempts + 1):
-                try:
-                    self.queries[name].awaitTermination()
-                    self.failures.pop(name, None)
-                    break
-                except StreamingQueryException as error:
-                    self.failures[name] = str(error)
-                    if attempt < attempts:
-                        time.sleep(PAUSE_SECONDS)
-                        self.queries[name] = self._start(name, continuous=False)
+        replays the failed batch; what it has already written is replaced. The daily views
+        follow when the tables they read are done."""
+        for names in (LANDINGS, VIEWS):
+            self.start(continuous=False, names=names)
+            for name in names:
+                if name in self.queries:
+                    self._finish(name, attempts)
+
+    def _finish(self, name: str, attempts: int) -> None:
+        for attempt in range(1, attempts + 1):
+            try:
+                self.queries[name].awaitTermination()
+                self.failures.pop(name, None)
+                break
+            except StreamingQueryException as error:
+                self.failures[name] = str(error)
+                if attempt < attempts:
+                    time.sleep(PAUSE_SECONDS)
+                    self.queries[name] = self._start(name, continuous=False)
 
     def compact(self) -> dict[str, int | None]:
-        """Snapshot the keyed tables; may run beside the pipelines."""
-        return compact(self.warehouse, self.spark)
+        """Snapshot the keyed and the daily tables; may run beside the pipelines."""
+        return compact(self.warehouse, self.spark) | compact_daily(self.warehouse, self.spark)
 
     def stop(self) -> None:
         for query in self.queries.values():
