@@ -1,9 +1,12 @@
 """Secret scans: patterns, and character Markov models compared by log-likelihood ratio.
 
-Two models of first order are trained, one on random strings (the secrets that patterns find,
-and encoded digests of every document), one on ordinary identifiers (the long tokens of all
-documents without a finding). A long token is a secret if the ratio of its likelihoods is
-large enough. Counting, scoring and placing are column expressions throughout.
+Two models of first order are trained, one on labelled random strings, one on ordinary
+identifiers. The random strings are made from digests, as many for any table. The identifiers
+are the names of Spark's functions in the usual spellings, as many for any table, and the long
+tokens of all documents without a finding. Pairs of characters back off to single ones, so a
+small table gives a weaker model of the same shape, and a token that occurs once does not teach
+that it is ordinary. A long token is a secret if the ratio of its likelihoods is large enough.
+Counting, scoring and placing are column expressions throughout.
 
 Places come from the pieces between matches: their lengths are summed along a document, by a
 window over narrow rows, so a text with many matches costs no more than their number.
@@ -30,10 +33,14 @@ KINDS = (*(kind for kind, *_ in PATTERNS), LEARNED)
 TOKEN = r"[A-Za-z0-9+/_=-]{12,}"
 TOKEN_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 LEAST_SCORED = 16
-SMOOTHING = 1.0
-# Nats by which a token must be likelier random than ordinary: odds of one secret in about
-# 10^5 tokens, and one in 10^3 on top against chance.
-LEAST_RATIO = 18.0
+# What each character counts beforehand, and for how many pairs the single characters stand.
+SMOOTHING = 0.5
+BACK_OFF = 1_000
+MADE_STRINGS = 20_000
+MADE_NUMBERS = 400
+# Nats by which a token must be likelier random than ordinary. Chosen on made strings and
+# tokens the models were not trained on, see README.
+LEAST_RATIO = 10.0
 REDACTED = "[SECRET]"
 
 
@@ -106,35 +113,51 @@ def _pairs(tokens: DataFrame) -> DataFrame:
     )
 
 
+def random_strings(spark, count: int = MADE_STRINGS, seed: str = "made") -> DataFrame:
+    """Labelled random strings, 16 to 43 characters of base 64, in both spellings of it, or of
+    letters and digits alone."""
+    text = F.base64(F.unhex(F.sha2(F.concat(F.lit(seed), F.col("id").cast("string")), 256)))
+    kinds = [text, F.translate(text, "+/", "-_"), F.regexp_replace(text, "[+/=]", "")]
+    spelt = F.element_at(F.array(*kinds), (F.col("id") % len(kinds) + 1).cast("int"))
+    length = (F.col("id") % 28 + 16).cast("int")
+    return spark.range(count).select(F.substr(spelt, F.lit(1), length).alias("token"))
+
+
+def known_identifiers(spark) -> DataFrame:
+    """Labelled identifiers: names of Spark's functions with `_`, with `-`, in capitals, and run
+    together with the first letters large; and numbers of 16 digits."""
+    name = F.regexp_extract("function", r"^[a-z][a-z0-9_]{3,}$", 0)
+    joined = F.replace(F.initcap(F.replace(name, F.lit("_"), F.lit(" "))), F.lit(" "), F.lit(""))
+    spellings = F.array(name, F.replace(name, F.lit("_"), F.lit("-")), F.upper(name), joined)
+    numbers = spark.range(MADE_NUMBERS).select(F.lpad((F.abs(F.xxhash64("id")) % 10**16).cast("string"), 16, "0").alias("token"))
+    return spark.sql("SHOW SYSTEM FUNCTIONS").select(F.explode(spellings).alias("token")).unionByName(numbers)
+
+
 def _sources(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The labelled tokens: random ones, ordinary ones."""
-    kinds = [kind for kind, *_ in PATTERNS]
-    values = [
-        F.transform(F.filter(F.coalesce(F.col(kind), F.array()), lambda m: m["counts"]), lambda m: m["value"]) for kind in kinds
-    ]
-    digest = F.unhex(F.sha2(F.col("text_key"), 256))
-    made = F.array(F.substring(F.base64(digest), 1, 43))
-    random = found.select(F.explode(F.concat(made, *values)).alias("token"))
-    clean = " AND ".join(f"{kind} IS NULL" for kind in kinds)
+    spark = found.sparkSession
+    clean = " AND ".join(f"{kind} IS NULL" for kind, *_ in PATTERNS)
     ordinary = found.where(f"{clean} AND {LEARNED} IS NOT NULL").select(F.explode(F.col(f"{LEARNED}.value")).alias("token"))
-    return random, ordinary
+    return random_strings(spark), known_identifiers(spark).unionByName(ordinary)
 
 
 def train(found: DataFrame) -> list[float]:
     """Log ratios of the two models by pair of characters, a square table of the alphabet.
 
-    Counts go over all documents; some thousand sums reach the driver. Unseen pairs have the
-    smoothing alone, and tables without tokens give ratios of 0.
+    Counts go over all documents; some thousand sums reach the driver.
     """
     firsts = "^" + TOKEN_CHARS
     tables = []
     for tokens in _sources(found):
         counts = {row["pair"]: row["n"] for row in _pairs(tokens).collect()}
+        single = {b: SMOOTHING + sum(counts.get(a + b, 0) for a in firsts) for b in TOKEN_CHARS}
+        every = sum(single.values())
         table = {}
         for a in firsts:
-            row = [counts.get(a + b, 0) + SMOOTHING for b in TOKEN_CHARS]
-            total = sum(row)
-            table |= {a + b: math.log(n / total) for b, n in zip(TOKEN_CHARS, row, strict=True)}
+            seen = sum(counts.get(a + b, 0) for b in TOKEN_CHARS)
+            for b in TOKEN_CHARS:
+                share = (counts.get(a + b, 0) + BACK_OFF * single[b] / every) / (seen + BACK_OFF)
+                table[a + b] = math.log(share)
         tables.append(table)
     return [round(tables[0][a + b] - tables[1][a + b], 5) for a in firsts for b in TOKEN_CHARS]
 

@@ -3,6 +3,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from skyledger.llm import secrets
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -81,3 +83,17 @@ def test_messy_and_empty(messy, empty):
 def test_no_python_in_the_plan(messy):
     plan = secrets.scan(messy)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_judged_alike_in_small_and_large_tables(spark):
+    """The labelled samples do not shrink with the table, so the same strings are found."""
+    random.seed(6)
+    alphabet = secrets.TOKEN_CHARS[:62]
+    hidden = ["".join(random.choices(alphabet, k=32)) for _ in range(30)]
+    plain_ones = ["monotonically_increasing_id", "InternationalizationService", "4111111111111111", "MAX_CONNECTION_TIMEOUT"]
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    tokens = spark.createDataFrame([(t,) for t in hidden + plain_ones], "token string")
+    for rows in (docs.limit(30), docs.where("doc_id < 2000")):
+        table = secrets.train(secrets.matches(rows, "doc_id", "text"))
+        found = {r.token for r in tokens.where(secrets.ratio(F.col("token"), table) >= secrets.LEAST_RATIO).collect()}
+        assert len(found & set(hidden)) >= 27 and not found & set(plain_ones)
