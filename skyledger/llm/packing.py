@@ -40,6 +40,10 @@ SPLIT = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+"
     f"|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
 )
+# Fixed rule: how byte-level BPE writes a byte as a character. Printable ones stand for
+# themselves, the others for the characters from U+0100 on, in order.
+PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_CHARS = {byte: 0x100 + i for i, byte in enumerate(b for b in range(0x100) if b not in PRINTABLE)}
 CUT = re.compile(r"\S (?=\S)")
 
 
@@ -55,6 +59,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.normalized = self.tokenizer.model, self.tokenizer.normalizer is not None
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
 
@@ -62,17 +67,15 @@ class Encoder:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        """Put the ids of new words in the cache. Every word has at least one token."""
-        found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids = np.asarray(found.ids, dtype="<u4").tobytes()
-        ends = 4 * np.searchsorted(np.asarray(found.word_ids), np.arange(1, len(words) + 1))
-        start = 0
-        for word, end in zip(words, ends.tolist(), strict=True):
-            self.cache[word] = ids[start:end]
-            start = end
+        """Put the ids of new words in the cache, by the merges alone: a word is split already."""
+        tokenize = self.model.tokenize
+        for word in words:
+            tokens = tokenize(word.encode().decode("latin-1").translate(BYTE_CHARS))
+            self.cache[word] = b"".join([token.id.to_bytes(4, "little") for token in tokens])
 
     def _chunk(self, text: str) -> bytes:
-        if not text.isascii() and max(text) > "ÿ" or any(s in text for s in self.special):
+        beyond = not text.isascii() and max(text) > "ÿ"
+        if beyond or self.normalized or any(s in text for s in self.special):
             return self._whole(text)
         words, cache = SPLIT.findall(text), self.cache
         try:
