@@ -580,6 +580,9 @@ def oracle_sql() -> dict[str, str]:
             "QUALIFY row_number() OVER (PARTITION BY generated_at ORDER BY e DESC) = 1)",
             "co AS (SELECT collector_id, delivered FROM packages WHERE e > 0)",
         ),
+        "stream_package_dedup": _station(
+            "SELECT DISTINCT package_timestamp FROM status WHERE environment_ok AND link_ok AND summary_ok AND alerts_ok"
+        ),
         "table_stats": f"WITH {_lines()},\n{_PACKAGES}\n"
         + " UNION ALL ".join(
             f"SELECT '{name}' AS table_name, count(*) AS records FROM {cte}" for name, cte in counts.items()
@@ -592,5 +595,6 @@ def oracle_sql() -> dict[str, str]:
         "stream_recent_alerts": "recent_alerts_coloured", "stream_alert_buffer": "recent_alert_buffer",
         "stream_active_alerts": "active_alerts", "stream_key_summary": "key_creation_summary",
         "stream_daily_production": "daily_key_production", "stream_latency_stats": "latency_stats",
+        "stream_ingest_counters": "ingest_counters",
     }
     return twins | {streamed: twins[batch] for streamed, batch in same.items()}

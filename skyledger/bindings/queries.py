@@ -27,8 +27,9 @@ from skyledger.streaming.ingest import (
     store_log_batch,
     store_package_batch,
 )
-from skyledger.streaming import rollups
+from skyledger.streaming import dedup, rollups
 from skyledger.streaming.newest import newest_rows
+from skyledger.streaming.progress import ingest_counters as ingest_counters_of
 from skyledger.streaming.rollups import compact_daily, daily_table, store_key_changes
 from skyledger.streaming.service import start_ingest
 from skyledger.streaming.warehouse import Warehouse
@@ -632,6 +633,40 @@ def stream_active_alerts(spark, sf_dir):
     return views.active_alerts(entered_alerts(_package_stream(spark, sf_dir), spark), AS_OF)
 
 
+@query
+def stream_ingest_counters(spark, sf_dir):
+    """The counters of the station pipeline, summed over its batches."""
+    return ingest_counters_of(_package_stream(spark, sf_dir), spark)
+
+
+@query
+def stream_package_dedup(spark, sf_dir):
+    """The packages a stream takes in as first whole deliveries, with state for one hour of them.
+
+    The third landing brings again what the second one ended with, which the state still
+    knows, and all of the first, which is older than the watermark.
+    """
+
+    def run() -> Warehouse:
+        root = scratch_folder(spark, "stream")
+        documents = stand_ins.package_documents(spark, sf_dir).withColumn("pair", F.floor(F.col("ord") / 2))
+        third = F.floor(F.col("pair") * 3 / documents.agg(F.max("pair") + 1).scalar())
+        for number in range(3):
+            part = documents.where(third <= number) if number == 2 else documents.where(third == number)
+            part.select("document").write.mode("append").text(f"{root}/landing")
+            lines = stream_package_lines(spark, f"{root}/landing", max_files=10_000)
+            packages = parse_documents(
+                lines.select(F.col("log_file").alias("file_name"), F.lit(0).alias("ord"), F.col("value").alias("document")),
+                station.CHECKED_SECTIONS,
+            )
+            taken = dedup.first_within(dedup.complete_deliveries(packages).select("package_timestamp"), "1 hour")
+            writer = taken.writeStream.option("checkpointLocation", f"{root}/progress").trigger(availableNow=True)
+            writer.start(f"{root}/packages", format="parquet").awaitTermination()
+        return Warehouse(root)
+
+    return read_table(spark, _once(spark, sf_dir, "dedup", run).folder("packages")).select("package_timestamp")
+
+
 # The daily views, from the tables that each micro-batch brings up to date.
 
 

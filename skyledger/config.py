@@ -7,12 +7,14 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class PipelineSettings:
-    """One ingest pipeline: where it reads, how often it fires, whether it runs."""
+    """One ingest pipeline: where it reads, how often it fires, whether it runs, and where the
+    files go that are done; without an archive they stay."""
 
     landing: str
     interval: str
     enabled: bool = True
     max_files_per_trigger: int = 10_000
+    archive: str | None = None
 
 
 @dataclass(frozen=True)

@@ -48,7 +48,14 @@ def stream_log_lines(
     max_files: int,
     glob: str | None = LOG_GLOB,
     folder: str | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
     """The same lines as an unbounded stream, before the arrival order is taken."""
+    return _with_metadata(landing_reader(spark, max_files, archive), path, glob, folder)
+
+
+def landing_reader(spark: SparkSession, max_files: int, archive: str | None = None):
+    """A reader of files as they land. With `archive`, files that are done move there, so the
+    landing folder holds only what is still to be read."""
     reader = spark.readStream.option("maxFilesPerTrigger", max_files)
-    return _with_metadata(reader, path, glob, folder)
+    return reader.option("cleanSource", "archive").option("sourceArchiveDir", archive) if archive else reader

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.rows import computed_once
 from skyledger.schemas import SECTIONS, package_schema
-from skyledger.sources.logs import read_log_lines, stream_log_lines, with_arrival_order
+from skyledger.sources.logs import landing_reader, read_log_lines, stream_log_lines, with_arrival_order
 
 PACKAGE_GLOB = "package_*.json"
 PACKAGE_NAME = r"\Apackage_.*\.json\z"
@@ -59,9 +59,9 @@ def read_package_lines(
     return parse_documents(documents, sections)
 
 
-def stream_packages(spark: SparkSession, path: str, max_files: int) -> DataFrame:
+def stream_packages(spark: SparkSession, path: str, max_files: int, archive: str | None = None) -> DataFrame:
     """Every package file as it lands."""
-    return _documents(spark.readStream.option("maxFilesPerTrigger", max_files), path, SECTIONS)
+    return _documents(landing_reader(spark, max_files, archive), path, SECTIONS)
 
 
 def stream_package_lines(spark: SparkSession, path: str, max_files: int) -> DataFrame:

@@ -18,6 +18,7 @@ from skyledger.schemas import FILE_LEDGER_COLUMNS, SECTIONS, UPSERT_KEYS, UPSERT
 from skyledger.sources.logs import with_arrival_order
 from skyledger.sources.tables import DAY, by_day
 from skyledger.streaming.newest import merge_newest
+from skyledger.streaming.progress import COUNTERS, batch_counters
 from skyledger.streaming.rollups import store_latency, stream_key_changes
 from skyledger.streaming.warehouse import BATCH, KeyedTable, Warehouse, without_batch
 
@@ -186,6 +187,8 @@ def store_package_batch(warehouse: Warehouse, packages: DataFrame, batch_id: int
         lambda: merge_newest(warehouse, station.environment_rows(fresh), "ogs_environment_data", batch_id),
         lambda: merge_newest(warehouse, station.link_rows(fresh), "ogs_link_data", batch_id),
     )
+    known = None if ledger is None else known_packages(deliveries, ledger, batch_id)
+    warehouse.write(batch_counters(deliveries, known), COUNTERS, batch_id)
     done = (
         station.package_status(deliveries)
         .groupBy("package_timestamp")

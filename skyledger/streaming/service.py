@@ -14,6 +14,7 @@ from skyledger.config import Settings
 from skyledger.sources.logs import stream_log_lines
 from skyledger.sources.packages import stream_packages
 from skyledger.streaming.ingest import compact, entries_as_stream, store_log_batch, store_package_batch
+from skyledger.streaming.progress import ProgressLog
 from skyledger.streaming.rollups import compact_daily, store_key_changes
 from skyledger.streaming.warehouse import Warehouse
 
@@ -75,6 +76,7 @@ class IngestService:
     queries: dict[str, StreamingQuery] = field(default_factory=dict)
     failures: dict[str, str] = field(default_factory=dict)
     restarts: dict[str, int] = field(default_factory=dict)
+    log: ProgressLog | None = None
 
     @property
     def warehouse(self) -> Warehouse:
@@ -90,7 +92,7 @@ class IngestService:
                 "keypool": (stream_log_lines, store_log_batch),
                 "station": (stream_packages, store_package_batch),
             }[name]
-            stream = source(self.spark, pipeline.landing, files)
+            stream = source(self.spark, pipeline.landing, files, archive=pipeline.archive)
         return start_ingest(
             stream,
             store,
@@ -172,6 +174,12 @@ class IngestService:
                     time.sleep(PAUSE_SECONDS)
                     self.queries[name] = self._start(name, continuous=False)
 
+    def record(self) -> ProgressLog:
+        """From now on keep a log of what the pipelines do; `stop` ends it."""
+        self.log = ProgressLog(self.spark, self.warehouse)
+        self.spark.streams.addListener(self.log)
+        return self.log
+
     def compact(self) -> dict[str, int | None]:
         """Snapshot the keyed and the daily tables; may run beside the pipelines."""
         return compact(self.warehouse, self.spark) | compact_daily(self.warehouse, self.spark)
@@ -179,3 +187,6 @@ class IngestService:
     def stop(self) -> None:
         for query in self.queries.values():
             query.stop()
+        if self.log:
+            self.spark.streams.removeListener(self.log)
+            self.log = None
