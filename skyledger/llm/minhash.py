@@ -6,14 +6,17 @@ in a bucket; sampling several in order makes a chance meeting over one shared pa
 
 Equal texts are one node from the start. In a bucket the texts are first aligned with the one
 text that shares most codes with others. Buckets that then hold several components are cut
-into blocks, and every two blocks make a bounded task that aligns the pairs of different
-components. So of any two texts of a bucket, whatever its size, each pair is aligned or in one
-component already. Links become classes by distributed connected components. What can be
-missed: a link of two texts that share no bucket.
+into blocks of bounded length, and every two blocks make a bounded task. It aligns the pairs of
+different components that share one of their rarest shingles, as every link must. So of any two
+texts of a bucket, whatever its size, each pair is ruled out, aligned or in one component
+already. Links become classes by distributed connected components. What can be missed: a link
+of two texts that share no bucket.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,8 +32,9 @@ SKETCHES = 16
 SAMPLE = 4
 SEED = 0x5EED
 CHUNK = 1 << 16
-# Nodes of a block of a bucket, on average. A cell is two blocks.
-BLOCK = 64
+# Nodes and shingles of a block of a bucket, on average. A cell is two blocks.
+BLOCK = 1_024
+BLOCK_SHINGLES = 400_000
 # Rows of cells handed back from Python at once, and their columns.
 CELL_ROWS = 10_000
 CELL = pa.schema(
@@ -92,23 +96,26 @@ def _id(column: str):
 
 
 def sketched(docs: DataFrame, key: str, text: str, sketches: int, sample: int) -> DataFrame:
-    """row, doc_id, key, codes: a narrow row per document. Texts without words have no codes."""
+    """row, doc_id, key, codes, size: a narrow row per document, `size` in shingles. Texts
+    without words have no codes."""
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(key).alias("doc_id"),
         _key(F.col(text)).alias("key"),
         F.col(text).alias("text"),
     )
-    schema = T.StructType([*rows.schema.fields[:3], T.StructField("codes", T.ArrayType(T.LongType()))])
+    schema = T.StructType([*rows.schema.fields[:3], T.StructField("codes", T.ArrayType(T.LongType())), T.StructField("size", T.LongType())])
     names = schema.names
 
     def run(batches):
         for batch in batches:
-            codes = []
+            codes, sizes = [], []
             for value in batch.column(3):
                 values = shingles(value.as_py())
                 codes.append(sketch(values, sketches, sample) if len(values) else [])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(codes, type=pa.list_(pa.int64()))], names=names)
+                sizes.append(len(values))
+            told = [pa.array(codes, type=pa.list_(pa.int64())), pa.array(sizes, type=pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *told], names=names)
 
     return rows.mapInArrow(run, schema)
 
@@ -193,9 +200,14 @@ def _cells(spots: DataFrame, tied: DataFrame | None) -> DataFrame:
     named = _named(spots, tied, "node", "component")
     several = (
         named.groupBy("code")
-        .agg(F.count("*").alias("n"), F.min("component").alias("first"), F.max("component").alias("last"))
+        .agg(
+            F.count("*").alias("n"),
+            F.sum("size").alias("length"),
+            F.min("component").alias("first"),
+            F.max("component").alias("last"),
+        )
         .where("first < last")
-        .select("code", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        .select("code", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("length") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     )
     parts = named.join(several, "code")
     codes = parts.groupBy("node").agg(F.sort_array(F.collect_list("code")).alias("codes"))
@@ -229,18 +241,18 @@ def _by_cell(batches):
         yield held
 
 
-def _own_pairs(rows: list[dict]):
-    """Places of the pairs a cell has to answer for: of different blocks, if it has two, of
-    different components, and of no common bucket with a lower code."""
+def _own(rows: list[dict]):
+    """Whether a cell has to answer for a pair of its places: of different blocks, if it has
+    two, of different components, and of no common bucket with a lower code."""
     code, across = rows[0]["code"], rows[0]["low"] < rows[0]["high"]
     lower = [frozenset(c for c in row["codes"] if c < code) for row in rows]
-    for i, one in enumerate(rows):
-        for j in range(i + 1, len(rows)):
-            other = rows[j]
-            if one["component"] == other["component"] or across and one["side"] == other["side"]:
-                continue
-            if lower[i].isdisjoint(lower[j]):
-                yield i, j
+    parts = [(row["component"], row["side"] if across else None) for row in rows]
+
+    def own(i: int, j: int) -> bool:
+        apart = parts[i][0] != parts[j][0] and (not across or parts[i][1] != parts[j][1])
+        return apart and lower[i].isdisjoint(lower[j])
+
+    return own
 
 
 def _needed(cells: DataFrame) -> DataFrame:
@@ -250,7 +262,12 @@ def _needed(cells: DataFrame) -> DataFrame:
     def run(batches):
         told: list[dict] = []
         for rows in _by_cell(batches):
-            told += [rows[i] for i in sorted({i for pair in _own_pairs(rows) for i in pair})]
+            own, kept = _own(rows), set()
+            for i in range(len(rows)):
+                if i not in kept:
+                    met = next((j for j in range(len(rows)) if j != i and own(i, j)), None)
+                    kept |= {i, met} if met is not None else set()
+            told += [rows[i] for i in sorted(kept)]
             if len(told) >= CELL_ROWS:
                 yield pa.RecordBatch.from_pylist(told, schema=CELL)
                 told = []
@@ -260,6 +277,29 @@ def _needed(cells: DataFrame) -> DataFrame:
     return _dealt(cells).mapInArrow(run, cells.schema).select(*names)
 
 
+def rare_groups(values: list[np.ndarray], least: float):
+    """Groups of places of texts that share one of their rarest shingles.
+
+    Two texts of n and m shingles that link have at least `least` times n in common. So if all
+    order their shingles alike, rarest first, they share one of the first n - ceil(least n) + 1.
+    Every pair that links is in a group.
+    """
+    labelled = [_labels(v) if len(v) else v for v in values]
+    every, place = np.unique(np.concatenate(labelled), return_inverse=True)
+    often = np.bincount(place, minlength=len(every))
+    owners, firsts, start = [], [], 0
+    for i, labels in enumerate(labelled):
+        own = place[start : start + len(labels)]
+        start += len(labels)
+        count = len(own) - math.ceil(least * len(own) - 1e-9) + 1
+        firsts.append(own[np.lexsort((own, often[own]))[:count]])
+        owners.append(np.full(len(firsts[-1]), i))
+    owners, firsts = np.concatenate(owners), np.concatenate(firsts)
+    order = np.argsort(firsts, kind="stable")
+    cuts = np.flatnonzero(np.diff(firsts[order])) + 1
+    return [group for group in np.split(owners[order], cuts) if len(group) > 1]
+
+
 def _linked(cells: DataFrame, least: float) -> DataFrame:
     """Rows of cells with their texts -> a, b: links that join all components that links join.
 
@@ -276,12 +316,20 @@ def _linked(cells: DataFrame, least: float) -> DataFrame:
                     above[c] = c = above[above[c]]
                 return c
 
-            found = []
-            for i, j in _own_pairs(rows):
-                one, other = root(rows[i]["component"]), root(rows[j]["component"])
-                if one != other and similarity(values[i], values[j], least) >= least:
-                    above[one] = other
-                    found.append((rows[i]["node"], rows[j]["node"]))
+            own, tried, found = _own(rows), set(), []
+            for group in rare_groups(values, least):
+                roots = [root(rows[i]["component"]) for i in group]
+                if len(set(roots)) == 1:
+                    continue
+                for x, i in enumerate(group):
+                    for j in group[x + 1 :]:
+                        one, other = root(rows[i]["component"]), root(rows[j]["component"])
+                        if one == other or (i, j) in tried:
+                            continue
+                        tried.add((i, j))
+                        if own(i, j) and similarity(values[i], values[j], least) >= least:
+                            above[one] = other
+                            found.append((rows[i]["node"], rows[j]["node"]))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in zip(*found, strict=True)], names=["u", "v"])
 
@@ -328,7 +376,7 @@ def near_duplicate_classes(
         "near-nodes",
     )
     codes = rows.join(nodes.select(F.col("node").alias("row")), "row").select(
-        F.col("row").alias("node"), F.explode("codes").alias("code")
+        F.col("row").alias("node"), F.explode("codes").alias("code"), "size"
     )
     spots = stored(_shared(codes), "near-spots")
     # Texts move once, and only those that meet another go on. A node's text comes from the

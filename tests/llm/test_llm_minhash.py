@@ -128,7 +128,23 @@ def test_links_of_texts_tied_to_different_leaders(spark):
     assert {r.class_id for r in minhash.near_duplicate_classes(frame, sketches=1, sample=1).collect()} == {0}
 
 
-def test_buckets_of_any_size(spark):
+def test_rare_groups_hold_every_link():
+    """Each pair that links shares a group; unlike texts of one bucket share few."""
+    texts = [t for _, t in corpus()] + [t for _, t in chained()[:120]]
+    for least in (0.8, 0.6):
+        values = [alignment.shingles(t) for t in texts]
+        held = {(min(i, j), max(i, j)) for g in minhash.rare_groups(values, least) for i in g for j in g if i != j}
+        for i, x in enumerate(values):
+            for j in range(i + 1, len(values)):
+                if len(x) and alignment.similarity(x, values[j], least) >= least:
+                    assert (i, j) in held
+    passage = [f"p{i}" for i in range(30)]
+    unlike = [alignment.shingles(" ".join(passage + [f"u{i}w{k}" for k in range(300)])) for i in range(50)]
+    assert minhash.rare_groups(unlike, 0.8) == []
+
+
+def test_buckets_of_any_size(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 64)
     docs = one_bucket(150)
     shuffled = random.Random(5).sample(docs, len(docs))
     assert len(docs) > 2 * minhash.BLOCK and set(brute(docs, 0.8).values()) == {0}
