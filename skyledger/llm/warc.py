@@ -205,7 +205,7 @@ def write_archive(
     cut = (
         records.unionByName(told)
         .withColumn("shard", range_index(F.col("page_id"), bounds))
-        .repartition(len(bounds) + 1, "shard")
+        .repartitionById(len(bounds) + 1, "shard")
         .sortWithinPartitions("shard", "page_id", "digest", "order", "url")
     )
 

@@ -84,3 +84,13 @@ def test_a_changed_payload_is_noticed():
     assert len(list(warc.read_records(io.BytesIO(record)))) == 1
     with pytest.raises(ValueError):
         list(warc.read_records(io.BytesIO(record.replace(b"abc", b"abd"))))
+
+
+def test_many_shards(spark, tmp_path):
+    """As many files as shards, numbered without a gap, each with pages of its own range."""
+    pages = spark.range(4000).selectExpr("id AS page_id", "'u' AS url", "repeat(md5(cast(id AS string)), 20) AS html")
+    manifest = warc.write_archive(pages, str(tmp_path / "warc"), shard_bytes=300_000)
+    shards = sorted(r.shard for r in manifest.collect())
+    assert shards == list(range(len(shards))) and len(shards) >= 7
+    read = warc.read_archive(spark, str(tmp_path / "warc"))
+    assert read.count() == 4000 and read.select("page_id").distinct().count() == 4000
