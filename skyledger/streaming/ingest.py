@@ -17,6 +17,7 @@ from skyledger.operators.fold import FIRST_ORD, KEY, LAST_ORD, fold
 from skyledger.schemas import FILE_LEDGER_COLUMNS, SECTIONS, UPSERT_KEYS, UPSERT_REPLACES
 from skyledger.sources.logs import with_arrival_order
 from skyledger.sources.tables import DAY, by_day
+from skyledger.streaming import rollups
 from skyledger.streaming.newest import merge_newest
 from skyledger.streaming.progress import COUNTERS, batch_counters
 from skyledger.streaming.rollups import store_latency, stream_key_changes
@@ -286,3 +287,32 @@ def keyed_table(warehouse: Warehouse, spark: SparkSession, table: str) -> KeyedT
 def compact(warehouse: Warehouse, spark: SparkSession) -> dict[str, int | None]:
     """Snapshot every keyed table; gives the newest batch each covers."""
     return {name: warehouse.compact(spark, keyed_table(warehouse, spark, name)) for name in UPSERT_KEYS}
+
+
+# How the tables of batches are cut, so that merged batches are cut alike.
+BATCH_TABLES = {
+    ENTRIES: ENTRY_FOLDERS,
+    "processed_files": (),
+    "package_deliveries": (),
+    "settled_packages": (),
+    "ogs_environment_data": (DAY,),
+    "ogs_link_data": (DAY,),
+    "ogs_pass_summary": (),
+    "ogs_alerts": (),
+    ENTERED_ALERTS: (DAY,),
+    "ogs_pass_schedule": (),
+    "ogs_processed_packages": (PACKAGE_DAY,),
+    COUNTERS: (),
+    rollups.CHANGES: ("date",),
+}
+
+
+def merge_batches(warehouse: Warehouse, spark: SparkSession, followed: bool = False) -> dict[str, int | None]:
+    """Merge the whole batches of every table; gives the newest batch its segments stand for.
+
+    `followed`: the rollup pipeline reads the log entries, so their batches stay for it.
+    """
+    return {
+        name: warehouse.merge(spark, name, *cut, remove=not (followed and name == ENTRIES))
+        for name, cut in BATCH_TABLES.items()
+    }

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from skyledger.config import Settings
 from skyledger.sources.logs import stream_log_lines
 from skyledger.sources.packages import stream_packages
-from skyledger.streaming.ingest import compact, entries_as_stream, store_log_batch, store_package_batch
+from skyledger.streaming.ingest import compact, entries_as_stream, merge_batches, store_log_batch, store_package_batch
 from skyledger.streaming.progress import ProgressLog
 from skyledger.streaming.rollups import compact_daily, store_key_changes
 from skyledger.streaming.warehouse import Warehouse
@@ -184,6 +184,13 @@ class IngestService:
         """Snapshot the keyed and the daily tables; may run beside the pipelines."""
         return compact(self.warehouse, self.spark) | compact_daily(self.warehouse, self.spark)
 
+    def maintain(self) -> dict[str, int | None]:
+        """Snapshots, merged batches, and removal of what both replace; run it now and then,
+        say once a day, beside the pipelines. Gives the newest batch merged of each table."""
+        for name in self.compact():
+            self.warehouse.drop_old_snapshots(self.spark, name)
+        return merge_batches(self.warehouse, self.spark, followed=self.settings.rollups.enabled)
+
     def stop(self) -> None:
         for query in self.queries.values():
             query.stop()

@@ -2,6 +2,11 @@
 
 Each micro-batch owns one folder `batch=<id>` per table and writes it in overwrite mode,
 so a replayed batch replaces its own output and nothing else.
+
+Batches that are whole can be merged: their rows are written again as a segment of few files,
+and a manifest, written last, says which batches it stands for. Readers take the segments and
+the batches behind them. The folders of merged batches go one merge later, so that nothing is
+taken away from a reader that has just listed it.
 """
 
 from __future__ import annotations
@@ -21,6 +26,13 @@ from skyledger.sources.tables import DAY, write_by_day
 
 BATCH = "batch"
 MANIFEST = "covers long, folder string, shape string"
+SEGMENT = "segment"
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Remove a folder from whatever file system it lies in."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def without_batch(rows: DataFrame) -> DataFrame:
@@ -60,6 +72,16 @@ class Warehouse:
 
     def read(self, spark: SparkSession, table: str) -> DataFrame | None:
         """All batches of a table, None before the first."""
+        rows, merged = self._batches(spark, table), self._segments(spark, table)
+        if merged is None:
+            return rows
+        old, covered = merged
+        if rows is None:
+            return old
+        return old.select(*rows.columns).unionByName(rows.where(F.col(BATCH) > covered))
+
+    def _batches(self, spark: SparkSession, table: str) -> DataFrame | None:
+        """The batches that have a folder of their own."""
         try:
             return spark.read.parquet(self.folder(table))
         except AnalysisException as error:
@@ -67,6 +89,56 @@ class Warehouse:
                 return None
             raise
 
+    # ------------------------------------------------------------ merged batches
+
+    def _published(self, spark: SparkSession, folder: str) -> list:
+        """The lines of a table's manifests, oldest first: one per merge or snapshot."""
+        try:
+            return spark.read.schema(MANIFEST).parquet(folder).orderBy("covers", "folder").collect()
+        except AnalysisException as error:
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return []
+            raise
+
+    def _segments(self, spark: SparkSession, table: str) -> tuple[DataFrame, int] | None:
+        """The rows of all segments of a table, and the newest batch they stand for."""
+        lines = self._published(spark, f"{self.root}/_merged_manifests/{table}")
+        if not lines:
+            return None
+        base = f"{self.root}/_merged/{table}"
+        shape = StructType.fromJson(json.loads(lines[-1]["shape"]))
+        reader = spark.read.schema(shape).option("basePath", base)
+        rows = reader.parquet(*[f"{base}/{SEGMENT}={line['folder']}" for line in lines])
+        return rows.drop(SEGMENT), lines[-1]["covers"]
+
+    def merge(self, spark: SparkSession, table: str, *partitions: str, remove: bool = True) -> int | None:
+        """Write the whole batches behind the last segment as one more segment, cut by
+        `partitions`; gives the newest batch the segments stand for, None without any.
+
+        The newest batch may still be written, so it is left out. Unless `remove` is off, as for
+        a table that another stream reads batch by batch, the folders of batches that earlier
+        merges stand for are removed first.
+        """
+        lines = self._published(spark, f"{self.root}/_merged_manifests/{table}")
+        covered = lines[-1]["covers"] if lines else None
+        rows = self._batches(spark, table)
+        if rows is None:
+            return covered
+        held = sorted(row[0] for row in rows.select(BATCH).distinct().collect())
+        if covered is not None and remove:
+            for batch_id in held:
+                if batch_id <= covered:
+                    _remove(spark, self.folder(table, batch_id))
+        whole = [b for b in held[:-1] if covered is None or b > covered]
+        if not whole:
+            return covered
+        rows = rows.where((F.col(BATCH) >= whole[0]) & (F.col(BATCH) <= whole[-1]))
+        folder = f"{whole[-1]:020d}-{uuid.uuid4().hex}"
+        merged = rows.hint("rebalance", *partitions) if partitions else rows.hint("rebalance")
+        merged.write.partitionBy(*partitions).parquet(f"{self.root}/_merged/{table}/{SEGMENT}={folder}")
+        self._publish_line(spark, f"{self.root}/_merged_manifests/{table}", whole[-1], folder, rows.schema)
+        return whole[-1]
+
     # ------------------------------------------------------------ folded tables
 
     def _snapshot_folder(self, table: str) -> str:
@@ -98,12 +170,20 @@ class Warehouse:
         """Write a snapshot into a folder of its own, then its manifest."""
         folder = f"covers-{covers}-{uuid.uuid4().hex}"
         state.write.parquet(f"{self._snapshot_folder(table)}/{folder}")
-        line = state.sparkSession.range(1).select(
+        self._publish_line(state.sparkSession, self._manifest_folder(table), covers, folder, state.schema)
+
+    def _publish_line(self, spark: SparkSession, manifests: str, covers: int, folder: str, shape: StructType) -> None:
+        line = spark.range(1).select(
             F.lit(covers).cast("long").alias("covers"),
             F.lit(folder).alias("folder"),
-            F.lit(state.schema.json()).alias("shape"),
+            F.lit(shape.json()).alias("shape"),
         )
-        line.coalesce(1).write.mode("append").parquet(self._manifest_folder(table))
+        line.coalesce(1).write.mode("append").parquet(manifests)
+
+    def drop_old_snapshots(self, spark: SparkSession, table: str, keep: int = 2) -> None:
+        """Remove the snapshots of a table but for the newest ones, which readers may have open."""
+        for line in self._published(spark, self._manifest_folder(table))[:-keep]:
+            _remove(spark, f"{self._snapshot_folder(table)}/{line['folder']}")
 
     def state(
         self, spark: SparkSession, table: KeyedTable, upto: int | None = None
