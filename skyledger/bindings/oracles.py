@@ -580,6 +580,20 @@ def oracle_sql() -> dict[str, str]:
             "QUALIFY row_number() OVER (PARTITION BY generated_at ORDER BY e DESC) = 1)",
             "co AS (SELECT collector_id, delivered FROM packages WHERE e > 0)",
         ),
+        "stream_quarantine": _log(
+            "SELECT ord, CASE WHEN ord % 23 <> 0 THEN key_identity END AS key_identity, "
+            "CASE WHEN ord % 17 = 0 THEN 'FOREIGN' ELSE key_pool_type END AS key_pool_type, "
+            "concat_ws(',', CASE WHEN ord % 23 = 0 THEN 'missing:key_identity' END, "
+            "CASE WHEN ord % 17 = 0 THEN 'outside:key_pool_type' END) AS violations "
+            "FROM creations WHERE ord % 17 = 0 OR ord % 23 = 0"
+        ),
+        "stream_violation_counts": _log(
+            "SELECT 'key_creations' AS table_name, violation, CAST(rows AS BIGINT) AS rows FROM ("
+            "SELECT 'rows' AS violation, count(*) AS rows FROM creations UNION ALL "
+            "SELECT 'accepted', count(*) FILTER (ord % 17 <> 0 AND ord % 23 <> 0) FROM creations UNION ALL "
+            "SELECT 'missing:key_identity', count(*) FILTER (ord % 23 = 0) FROM creations UNION ALL "
+            "SELECT 'outside:key_pool_type', count(*) FILTER (ord % 17 = 0) FROM creations) WHERE rows > 0"
+        ),
         "stream_package_dedup": _station(
             "SELECT DISTINCT package_timestamp FROM status WHERE environment_ok AND link_ok AND summary_ok AND alerts_ok"
         ),

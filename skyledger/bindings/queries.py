@@ -27,7 +27,7 @@ from skyledger.streaming.ingest import (
     store_log_batch,
     store_package_batch,
 )
-from skyledger.streaming import dedup, rollups
+from skyledger.streaming import checks, dedup, rollups
 from skyledger.streaming.newest import newest_rows
 from skyledger.streaming.progress import ingest_counters as ingest_counters_of
 from skyledger.streaming.rollups import compact_daily, daily_table, store_key_changes
@@ -406,6 +406,7 @@ def _station_tables(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFra
         station.offered_alerts(packages), station.first_seen_passes(summaries), with_order=True
     )
     tables = {
+        "settled": settled,
         "environment": station.environment_rows(settled),
         "link": station.link_rows(settled),
         "summary": summaries,
@@ -418,16 +419,20 @@ def _station_tables(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFra
 
 @query
 def table_stats(spark, sf_dir):
-    entries = _entries(spark, sf_dir)
+    """Rows of every table; lines and packages are parsed once and stored."""
+    path = scratch_folder(spark, "entries")
+    _entries(spark, sf_dir).write.parquet(path)
+    entries = read_table(spark, path)
     tables = {name: keypool.stored_rows(entries, name) for name in KEYPOOL_TABLES if name != "key_creations"}
     tables["key_creations"] = keypool.key_creations(entries)
+    station_rows = _station_tables(spark, sf_dir)
     tables |= {
-        "ogs_environment_data": _environment(spark, sf_dir),
-        "ogs_link_data": _link(spark, sf_dir),
-        "ogs_pass_summary": _passes(spark, sf_dir),
-        "ogs_alerts": _alerts(spark, sf_dir),
-        "ogs_pass_schedule": _schedule(spark, sf_dir),
-        "ogs_processed_packages": station.package_ledger(_settled(spark, sf_dir)),
+        "ogs_environment_data": station_rows("environment"),
+        "ogs_link_data": station_rows("link"),
+        "ogs_pass_summary": station.pass_summary(station_rows("summary")),
+        "ogs_alerts": station_rows("alerts"),
+        "ogs_pass_schedule": station.pass_schedule(station_rows("schedule")),
+        "ogs_processed_packages": station.package_ledger(station_rows("settled")),
     }
     return export.table_stats(tables)
 
@@ -667,6 +672,44 @@ def stream_package_dedup(spark, sf_dir):
     return read_table(spark, _once(spark, sf_dir, "dedup", run).folder("packages")).select("package_timestamp")
 
 
+def _checked_stream(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Key creations through an export and back as a stream, some with a pool type nobody knows
+    and some without their key, in three landings."""
+
+    def run() -> Warehouse:
+        root = scratch_folder(spark, "stream")
+        warehouse = Warehouse(f"{root}/tables")
+        rows = keypool.stored_rows(_entries(spark, sf_dir), "key_creations")
+        order = F.col("ord")
+        rows = rows.withColumns(
+            {
+                "key_pool_type": F.when(order % 17 == 0, "FOREIGN").otherwise(F.col("key_pool_type")),
+                "key_identity": F.when(order % 23 != 0, F.col("key_identity")),
+            }
+        )
+        store = lambda warehouse, batch, batch_id: checks.store_checked(warehouse, batch, "key_creations", batch_id)
+        for number in range(3):
+            rows.where(order % 3 == number).write.mode("append").csv(f"{root}/landing")
+            landed = spark.readStream.schema(rows.schema).csv(f"{root}/landing")
+            start_ingest(landed, store, warehouse, f"{root}/progress", "import").awaitTermination()
+        return warehouse
+
+    return _once(spark, sf_dir, "checked", run)
+
+
+@query
+def stream_quarantine(spark, sf_dir):
+    """The rows that the checks of a stream have refused, with what is wrong with them."""
+    refused = checks.quarantined_rows(_checked_stream(spark, sf_dir), spark, "key_creations")
+    return refused.select("ord", "key_identity", "key_pool_type", F.array_join("violations", ",").alias("violations"))
+
+
+@query
+def stream_violation_counts(spark, sf_dir):
+    """The violations as observed while the batches were written."""
+    return checks.violation_counts(_checked_stream(spark, sf_dir), spark, "key_creations").where("rows > 0")
+
+
 # The daily views, from the tables that each micro-batch brings up to date.
 
 

@@ -37,7 +37,8 @@ class Kind:
     fields: tuple[Field, ...]
 
 
-# The kinds in matching order, their marking words and field patterns.
+# The kinds in matching order, their marking words and field patterns. Digits are
+# ASCII ones: a cast to a number reads no others.
 KINDS = [
     Kind(
         "KEY_CREATION",

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 
 def table_stats(tables: dict[str, DataFrame]) -> DataFrame:
-    """Number of records per table. Counting reads file footers only."""
+    """Number of records per table. Of a table stored as files only the footers are read."""
     counts = [
         rows.agg(F.count(F.lit(1)).alias("records")).select(F.lit(name).alias("table_name"), "records")
         for name, rows in tables.items()
