@@ -580,6 +580,12 @@ def oracle_sql() -> dict[str, str]:
             "QUALIFY row_number() OVER (PARTITION BY generated_at ORDER BY e DESC) = 1)",
             "co AS (SELECT collector_id, delivered FROM packages WHERE e > 0)",
         ),
+        "log_listing": _log(
+            "SELECT 'all' AS folder, filename, file_size AS size FROM sizes UNION ALL "
+            "SELECT 'other', log_file || '', CAST(coalesce(sum(strlen(value) + 1) FILTER ("
+            "NOT contains(value, 'METRIC') AND NOT contains(value, 'createKey')), 0) AS BIGINT) "
+            "FROM lines GROUP BY log_file"
+        ),
         "stream_quarantine": _log(
             "SELECT ord, CASE WHEN ord % 23 <> 0 THEN key_identity END AS key_identity, "
             "CASE WHEN ord % 17 = 0 THEN 'FOREIGN' ELSE key_pool_type END AS key_pool_type, "

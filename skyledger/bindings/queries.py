@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyledger.bindings import stand_ins
+from skyledger.bindings import log_files, stand_ins
 from skyledger.operators import assemble, keypool, quality, station
 from skyledger.operators.asof import Series
 from skyledger.plans import export, panels, views
@@ -469,6 +469,21 @@ def log_catalogue(spark, sf_dir):
     return catalogue.log_catalogue(spark, path, folder="log_file").drop("modified")
 
 
+@query
+def log_listing(spark, sf_dir):
+    """Log files as single files in two folders, with equal names and empty ones among them:
+    all lines in one, those of the broken kind in the other."""
+    root = scratch_folder(spark, "listing")
+    lines = stand_ins.log_lines(spark, sf_dir)
+    names = lines.select("log_file").distinct()
+    broken = lines.where(~F.col("value").contains("METRIC") & ~F.col("value").contains("createKey"))
+    for folder, rows in (("all", lines), ("other", broken)):
+        log_files.write_files(rows, names, f"{root}/site/{folder}")
+    listed = catalogue.list_files(spark, root, "*.log")
+    folder = F.element_at(F.split("path", "/"), -2)
+    return listed.select(folder.alias("folder"), "filename", "size")
+
+
 @query
 def log_file_scan(spark, sf_dir):
     """Latency per day from log files on disk, numbered in file order."""

@@ -15,42 +15,75 @@ LISTING = "path string, filename string, size long, modified timestamp"
 LISTED_AT_ONCE = 10_000
 
 
-def list_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
+# Levels of folders that are listed one by one, each folder by a task of its own, before the
+# tasks walk what lies below.
+SPREAD_LEVELS = 2
+
+
+def list_files(spark: SparkSession, path: str, glob: str, levels: int = SPREAD_LEVELS) -> DataFrame:
     """path, filename, size and modification time of all files below `path`, empty ones too.
 
-    The contents are never read, and the names never pass through the driver: a task walks
-    the folder and hands its files on in pieces. `path` is the key: two folders may each have
-    a file of one name. Names that start with a dot or an underscore are not listed.
+    The contents are never read, and the names never pass through the driver. Folders are dealt
+    to tasks, level by level and then with all they hold, and a task hands its files on in
+    pieces. `path` is the key: two folders may each have a file of one name. Names that start
+    with a dot or an underscore are not listed.
     """
 
-    def walk(batches):
-        import pyarrow as pa
-        from pyarrow import fs
-
-        fields = pa.schema(
-            [("path", pa.string()), ("filename", pa.string()), ("size", pa.int64()), ("modified", pa.timestamp("us", "UTC"))]
-        )
-        for batch in batches:
-            for folder in batch.column(0).to_pylist():
-                system, base = fs.FileSystem.from_uri(folder)
-                found, waiting = [], [base]
-                while waiting:
-                    selector = fs.FileSelector(waiting.pop(), allow_not_found=True)
-                    for info in system.get_file_info(selector):
+    def listing(deep: bool):
+        """Lists the folders among its rows, with all below them if `deep`; passes files on."""
+
+        def run(batches):
+            import pyarrow as pa
+            from pyarrow import fs
+
+            system, base = fs.FileSystem.from_uri(path)
+            fields = pa.schema(
+                [
+                    ("path", pa.string()),
+                    ("filename", pa.string()),
+                    ("size", pa.int64()),
+                    ("modified", pa.timestamp("us", "UTC")),
+                ]
+            )
+
+            def rows(found):
+                columns = zip(*found, strict=True)
+                arrays = [pa.array(c, type=f.type) for c, f in zip(columns, fields, strict=True)]
+                return pa.RecordBatch.from_arrays(arrays, schema=fields)
+
+            for batch in batches:
+                found, waiting = [], []
+                for row in batch.to_pylist():
+                    # A folder has no name of a file; the first one is `path` itself.
+                    if row["filename"] is None:
+                        waiting.append(base if row["path"] is None else row["path"])
+                    else:
+                        found.append(tuple(row.values()))
+                while waiting or found:
+                    for info in system.get_file_info(fs.FileSelector(waiting.pop(), allow_not_found=True)) if waiting else ():
                         if info.base_name[:1] in "._":
                             continue
                         if info.type == fs.FileType.Directory:
-                            waiting.append(info.path)
+                            if deep:
+                                waiting.append(info.path)
+                            else:
+                                found.append((info.path, None, None, None))
                         elif fnmatch.fnmatchcase(info.base_name, glob):
                             found.append((info.path, info.base_name, info.size, info.mtime))
                     while len(found) >= LISTED_AT_ONCE or (found and not waiting):
-                        now, found = found[:LISTED_AT_ONCE], found[LISTED_AT_ONCE:]
-                        columns = zip(*now, strict=True)
-                        arrays = [pa.array(c, type=f.type) for c, f in zip(columns, fields, strict=True)]
-                        yield pa.RecordBatch.from_arrays(arrays, schema=fields)
-
-    folders = spark.range(1).select(F.lit(path).alias("path"))
-    return folders.mapInArrow(walk, LISTING)
+                        yield rows(found[:LISTED_AT_ONCE])
+                        found = found[LISTED_AT_ONCE:]
+
+        return run
+
+    none = F.lit(None)
+    listed = spark.range(1).select(
+        none.cast("string").alias("path"), none.cast("string").alias("filename"),
+        none.cast("long").alias("size"), none.cast("timestamp").alias("modified"),
+    )
+    for _ in range(levels):
+        listed = listed.mapInArrow(listing(False), LISTING).repartition("path")
+    return listed.mapInArrow(listing(True), LISTING)
 
 
 def list_folders(spark: SparkSession, path: str, folder: str) -> DataFrame:

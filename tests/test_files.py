@@ -129,3 +129,22 @@ def test_latest_package_file(spark, tmp_path):
     (tmp_path / "package_zzz.txt").write_text("{}")
     names = [r.filename for r in catalogue.package_files(spark, str(tmp_path)).collect()]
     assert [r.filename for r in catalogue.latest_package_file(spark, str(tmp_path)).collect()] == names[-1:]
+
+
+@pytest.mark.parametrize("levels", [0, 1, 2, 3])
+def test_folders_are_listed_by_many_tasks(spark, tmp_path, levels):
+    """Files at every depth, of equal names, empty, and hidden; each once, whatever is spread."""
+    wanted = set()
+    for folder in ("", "a", "a/b", "a/b/c", "d", "d/e/f/g", "a/.hidden", "_temporary"):
+        for name, text in (("keypool_1.log", "x\n"), ("empty.log", ""), ("note.txt", "y"), (".keypool_2.log.part", "z")):
+            place = tmp_path / folder
+            place.mkdir(parents=True, exist_ok=True)
+            (place / name).write_text(text)
+            if name.endswith(".log") and not any(part[:1] in "._" for part in folder.split("/") if part):
+                wanted.add((f"{folder}/{name}".lstrip("/"), len(text)))
+    listed = catalogue.list_files(spark, str(tmp_path), "*.log", levels)
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    found = [(r.path.removeprefix(f"{tmp_path}/"), r["size"]) for r in listed.collect()]
+    assert sorted(found) == sorted(wanted)
+    assert plan.count("Exchange hashpartitioning(path") == levels
+    assert catalogue.list_files(spark, str(tmp_path / "none"), "*.log", levels).count() == 0
