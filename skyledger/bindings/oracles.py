@@ -586,6 +586,13 @@ def oracle_sql() -> dict[str, str]:
             "NOT contains(value, 'METRIC') AND NOT contains(value, 'createKey')), 0) AS BIGINT) "
             "FROM lines GROUP BY log_file"
         ),
+        "stream_dump_stats": _station(
+            " UNION ALL ".join(
+                f"SELECT '{name}' AS table_name, count(*) AS records FROM {cte}"
+                for name, cte in counts.items()
+                if name.startswith("ogs_")
+            )
+        ),
         "stream_quarantine": _log(
             "SELECT ord, CASE WHEN ord % 23 <> 0 THEN key_identity END AS key_identity, "
             "CASE WHEN ord % 17 = 0 THEN 'FOREIGN' ELSE key_pool_type END AS key_pool_type, "

@@ -27,7 +27,7 @@ from skyledger.streaming.ingest import (
     store_log_batch,
     store_package_batch,
 )
-from skyledger.streaming import checks, dedup, rollups
+from skyledger.streaming import checks, dedup, dumps, rollups
 from skyledger.streaming.newest import newest_rows
 from skyledger.streaming.progress import ingest_counters as ingest_counters_of
 from skyledger.streaming.rollups import compact_daily, daily_table, store_key_changes
@@ -725,6 +725,15 @@ def stream_violation_counts(spark, sf_dir):
     return checks.violation_counts(_checked_stream(spark, sf_dir), spark, "key_creations").where("rows > 0")
 
 
+@query
+def stream_dump_stats(spark, sf_dir):
+    """Rows of the station tables restored from a dump of the streamed warehouse."""
+    path = scratch_folder(spark, "dump")
+    dumps.dump_all(_package_stream(spark, sf_dir), spark, path)
+    names = dict.fromkeys([*dumps.STATION_NAMES, dumps.LAST_WRITTEN["station"]])
+    return export.table_stats({name: export.restore(spark, path, name) for name in names})
+
+
 # The daily views, from the tables that each micro-batch brings up to date.
 
 

@@ -253,8 +253,11 @@ def entered_alerts(warehouse: Warehouse, spark: SparkSession) -> DataFrame | Non
 def package_ledger(warehouse: Warehouse, spark: SparkSession) -> DataFrame | None:
     """One row per package over all batches."""
     rows = warehouse.read(spark, "ogs_processed_packages")
-    if rows is None:
-        return None
+    return None if rows is None else ledger_of(rows)
+
+
+def ledger_of(rows: DataFrame) -> DataFrame:
+    """The package ledger out of the rows of some batches."""
     return rows.groupBy("package_timestamp").agg(
         F.min_by("collector_id", BATCH).alias("collector_id"),
         F.sum("deliveries").alias("deliveries"),
