@@ -15,7 +15,7 @@ from skyledger.sources.logs import stream_log_lines
 from skyledger.sources.packages import stream_packages
 from skyledger.streaming.ingest import compact, entries_as_stream, merge_batches, store_log_batch, store_package_batch
 from skyledger.streaming.progress import ProgressLog
-from skyledger.streaming.rollups import compact_daily, store_key_changes
+from skyledger.streaming.rollups import DAILY_TABLES, compact_daily, store_key_changes
 from skyledger.streaming.warehouse import Warehouse
 
 # Attempts after a failure and the pause between them.
@@ -181,13 +181,15 @@ class IngestService:
         return self.log
 
     def compact(self) -> dict[str, int | None]:
-        """Snapshot the keyed and the daily tables; may run beside the pipelines."""
-        return compact(self.warehouse, self.spark) | compact_daily(self.warehouse, self.spark)
+        """Snapshot the keyed and the daily tables; may run beside the pipelines. Gives the
+        newest batch each keyed table's snapshot covers."""
+        compact_daily(self.warehouse, self.spark)
+        return compact(self.warehouse, self.spark)
 
     def maintain(self) -> dict[str, int | None]:
         """Snapshots, merged batches, and removal of what both replace; run it now and then,
         say once a day, beside the pipelines. Gives the newest batch merged of each table."""
-        for name in self.compact():
+        for name in (*self.compact(), *DAILY_TABLES):
             self.warehouse.drop_old_snapshots(self.spark, name)
         return merge_batches(self.warehouse, self.spark, followed=self.settings.rollups.enabled)
 
