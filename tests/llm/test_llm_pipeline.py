@@ -14,7 +14,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def test_registered():
     names = set(entry_points.queries())
     assert set(registry.QUERIES) | {"pipeline"} <= names
-    assert {int(n[2:].split("_")[0]) for n in registry.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in registry.QUERIES} == set(range(1, 14))
     assert set(registry.SQL) <= set(entry_points.oracle_sql())
 
 
