@@ -573,14 +573,9 @@ def _package_stream(spark: SparkSession, sf_dir: str, compacted: bool = False) -
     def run() -> Warehouse:
         root = scratch_folder(spark, "stream")
         warehouse = Warehouse(f"{root}/tables")
-        documents = stand_ins.package_documents(spark, sf_dir)
-        pair = F.floor(F.col("ord") / 2)
-        whole = documents.agg(F.max(pair) + 1).scalar()
         for third in range(3):
-            # Both deliveries of a package land in one file; a landing is one micro-batch.
-            part = documents.where(F.floor(pair * 3 / whole) == third)
-            files = part.repartitionByRange(4, pair).sortWithinPartitions("ord")
-            files.select("document").write.mode("append").text(f"{root}/landing")
+            # A landing is one micro-batch.
+            stand_ins.land_documents(spark, sf_dir, f"{root}/landing", third)
             lines = stream_package_lines(spark, f"{root}/landing", max_files=10_000)
             start_ingest(lines, _store_merged, warehouse, f"{root}/progress", "station").awaitTermination()
             if compacted:

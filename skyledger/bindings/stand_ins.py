@@ -5,7 +5,8 @@ with the table. Packages come in pairs: an even event is the first delivery of a
 the odd one after it the second.
 
 Lines and documents are derived once per session and land in the shared folder, as the
-producers of a deployment would leave them; each query starts from that text.
+producers of a deployment would leave them; each query starts from that text. Streams land
+their own files, gzipped: the text is some ten times its compressed size.
 """
 
 from __future__ import annotations
@@ -25,6 +26,10 @@ from skyledger.session import scratch_folder
 from skyledger.sources.packages import parse_documents
 from skyledger.sources.tables import read_table
 
+# Merged files of a landing: at least so many, and so many documents in each.
+LEAST_FILES = 4
+DOCUMENTS_PER_FILE = 20_000
+
 
 def _event() -> list[Column]:
     return [F.col(c) for c in ("event_id", "user_id", "value", "ts", "event_type")]
@@ -293,7 +298,32 @@ def package_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed(spark, sf_dir, "packages", lambda: _derive_documents(spark, sf_dir))
 
 
+def event_pair() -> Column:
+    """The number of a package: both its deliveries have it."""
+    e, *_ = _event()
+    return _div(e, 2)
+
+
+def land_documents(spark: SparkSession, sf_dir: str, path: str, third: int) -> None:
+    """One third of the documents as merged files, one a line, gzipped and in order.
+
+    Both deliveries of a package land in one file. The events are brought into order, not the
+    documents made of them, so what is shuffled and sorted is a small row; the files grow in
+    number with the table, so that no task holds more than so many.
+    """
+    rows = read_table(spark, f"{sf_dir}/events.parquet")
+    pairs, count = rows.agg(F.max(event_pair()) + 1, F.count(F.lit(1))).first()
+    part = rows.where(F.floor(event_pair() * 3 / F.lit(pairs)) == third)
+    files = max(LEAST_FILES, -(-count // (3 * DOCUMENTS_PER_FILE)))
+    ordered = part.repartitionByRange(files, event_pair()).sortWithinPartitions("event_id")
+    _documents_of(ordered).select("document").write.mode("append").option("compression", "gzip").text(path)
+
+
 def _derive_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _documents_of(events(spark, sf_dir))
+
+
+def _documents_of(rows: DataFrame) -> DataFrame:
     e, u, *_ = _event()
     sections = {
         "environment": assemble.nested(assemble.ENVIRONMENT_COLUMNS, environment_values().__getitem__),
@@ -311,7 +341,7 @@ def _derive_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(e > 0, F.date_format(delivery_time(), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")),
         e.cast("int"),
     )
-    built = computed_once(events(spark, sf_dir), whole=document)
+    built = computed_once(rows, whole=document)
     # Every 50th + 7 delivery comes before its producer's first update: its sections are
     # `{}`, but for the alert list.
     struct = r"\{(?:[^{}]|\{(?:[^{}]|\{[^{}]*\})*\})*\}"

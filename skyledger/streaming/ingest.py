@@ -29,6 +29,10 @@ PACKAGE_DAY = "package_date"
 ENTERED_ALERTS = "entered_alerts"
 ENTRY_FOLDERS = ("log_type", DAY)
 
+# How stored deliveries are cut, so that what a task reads of them fits into its memory.
+DELIVERIES_PER_FILE = 50_000
+SETTLED_SPLIT = "16m"
+
 
 # ---------------------------------------------------------------- key pool
 
@@ -162,13 +166,15 @@ def without_stored_sections(
 def store_package_batch(warehouse: Warehouse, packages: DataFrame, batch_id: int) -> None:
     """Store a batch of deliveries, then what is new in them, table by table."""
     spark = packages.sparkSession
+    # Settling sorts whole deliveries, a split of them per task. A stream has a session of its own.
+    spark.conf.set("spark.sql.files.maxPartitionBytes", SETTLED_SPLIT)
     dated = packages.withColumns(
         {
             PACKAGE_DAY: F.to_date(package_time(F.col("package_timestamp"))),
             "ord": arrival(batch_id, F.col("ord").alias("delivery")),
         }
     )
-    deliveries = warehouse.write(dated, "package_deliveries", batch_id)
+    deliveries = warehouse.write(dated, "package_deliveries", batch_id, rows_per_file=DELIVERIES_PER_FILE)
     settled = station.settle(deliveries)
     ledger = warehouse.read(spark, "ogs_processed_packages")
     fresh = warehouse.write(

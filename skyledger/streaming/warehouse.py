@@ -61,10 +61,16 @@ class Warehouse:
         base = f"{self.root}/{table}"
         return base if batch_id is None else f"{base}/{BATCH}={batch_id}"
 
-    def write(self, rows: DataFrame, table: str, batch_id: int, *partitions: str) -> DataFrame:
-        """Replace one batch of a table; gives the written rows back."""
+    def write(
+        self, rows: DataFrame, table: str, batch_id: int, *partitions: str, rows_per_file: int = 0
+    ) -> DataFrame:
+        """Replace one batch of a table, in files of so many rows at most if told; gives the
+        written rows back."""
         path = self.folder(table, batch_id)
-        rows.write.mode("overwrite").partitionBy(*partitions).parquet(path)
+        writer = rows.write.mode("overwrite").partitionBy(*partitions)
+        if rows_per_file:
+            writer = writer.option("maxRecordsPerFile", rows_per_file)
+        writer.parquet(path)
         return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
     def write_by_day(self, rows: DataFrame, table: str, batch_id: int, moment: str) -> None:
