@@ -668,7 +668,7 @@ def stream_package_dedup(spark, sf_dir):
         third = F.floor(F.col("pair") * 3 / documents.agg(F.max("pair") + 1).scalar())
         for number in range(3):
             part = documents.where(third <= number) if number == 2 else documents.where(third == number)
-            part.select("document").write.mode("append").text(f"{root}/landing")
+            part.select("document").write.mode("append").option("compression", "gzip").text(f"{root}/landing")
             lines = stream_package_lines(spark, f"{root}/landing", max_files=10_000)
             packages = parse_documents(
                 lines.select(F.col("log_file").alias("file_name"), F.lit(0).alias("ord"), F.col("value").alias("document")),

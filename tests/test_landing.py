@@ -57,3 +57,11 @@ def test_deliveries_are_stored_in_files_a_task_can_sort(spark, sf_dir, monkeypat
     assert per_file.agg(F.max("count"), F.sum("count")).first() == (7, 600)
     # The split is set for the stream alone.
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == split
+
+
+def test_repeated_deliveries_land_compressed(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(queries, "_RUNS", {})
+    taken = queries.stream_package_dedup(spark, sf_dir).count()
+    (warehouse,) = queries._RUNS.values()
+    landing = Path(warehouse.root.removeprefix("file:")) / "landing"
+    assert taken and list(landing.glob("part-*")) and all(f.suffix == ".gz" for f in landing.glob("part-*"))
