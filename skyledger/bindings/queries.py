@@ -237,7 +237,7 @@ def package_dedup(spark, sf_dir):
 
 @query
 def package_ledger_rows(spark, sf_dir):
-    return station.package_ledger(_settled(spark, sf_dir))
+    return station.package_ledger(station.settle(station.bare_sections(stand_ins.packages(spark, sf_dir))))
 
 
 @query

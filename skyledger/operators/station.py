@@ -327,6 +327,25 @@ def recent_alert_buffer(stored: DataFrame, size: int = BUFFERED_ALERTS) -> DataF
 # ---------------------------------------------------------------- ledger
 
 
+def bare_sections(packages: DataFrame, *sections: str) -> DataFrame:
+    """Deliveries whose sections are emptied but for the values that tell whether they can be
+    stored and how many rows they hold; with `sections` only those are.
+
+    `package_status`, `package_ledger` and what is settled for them say the same of both, and
+    sort and shuffle rows of some hundred bytes.
+    """
+    moments = F.transform("alerts.alerts", lambda a: F.struct(a["timestamp"].alias("timestamp")))
+    plans = F.transform("schedule.scheduled_passes", lambda _: F.lit(True))
+    told = {
+        "environment": F.struct("environment.timestamp", "environment.ogs_id"),
+        "link": F.struct("link.timestamp"),
+        "summary": F.struct("summary.pass_id"),
+        "alerts": F.struct(moments.alias("alerts")),
+        "schedule": F.struct(plans.alias("scheduled_passes")),
+    }
+    return packages.withColumns({s: F.when(F.col(s).isNotNull(), told[s]) for s in sections or SECTIONS})
+
+
 def package_ledger(settled: DataFrame) -> DataFrame:
     """Settled packages with the number of rows each put into the station tables."""
     storable_alerts = F.filter(

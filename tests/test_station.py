@@ -277,3 +277,18 @@ def test_snapshot_holds_the_newest_of_everything(spark):
     assert [a["alert_id"] for a in held["alerts"]["alerts"]] == ["a03", "a02", "a01", "a00"]
     assert held["environment"] is None
     assert station.recent_alert_buffer(stored).collect()[0]["count"] == 10
+
+
+def test_bare_sections_settle_alike(spark):
+    """The ledger of emptied sections is that of whole ones, out of a shuffle of small rows."""
+    empty = {s: None for s in ("environment", "link", "summary", "alerts", "schedule")}
+    texts = [package(0), package(0), package(1, environment={}), package(2, **empty), package(2, alerts=alerts(ALERT))]
+    whole = parsed(spark, *texts)
+    bare = station.bare_sections(whole)
+    flags = station.package_status(whole).orderBy("ord").collect()
+    assert station.package_status(bare).orderBy("ord").collect() == flags
+    ledger = station.package_ledger(station.settle(whole)).orderBy("package_timestamp").collect()
+    assert ledger and station.package_ledger(station.settle(bare)).orderBy("package_timestamp").collect() == ledger
+    assert bare.schema["environment"].dataType.names == ["timestamp", "ogs_id"]
+    offered = station.offered_alerts(station.bare_sections(whole, "environment", "link", "summary"))
+    assert sorted(offered.collect()) == sorted(station.offered_alerts(whole).collect())
