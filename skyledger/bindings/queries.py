@@ -395,16 +395,21 @@ def _package_summary(documents: DataFrame) -> DataFrame:
 
 
 def _station_tables(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
-    """The inputs of a snapshot, written once so that its sections do not re-parse."""
+    """The inputs of a snapshot, written once so that its sections do not re-parse. Of the
+    deliveries only what alerts and collector rows are made of is written."""
     root = scratch_folder(spark, "snapshot")
-    packages = stand_ins.packages(spark, sf_dir)
-    settled_path = f"{root}/settled"
-    station.settle(packages).write.parquet(settled_path)
-    settled = read_table(spark, settled_path)
+
+    def written(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{root}/{name}")
+        return read_table(spark, f"{root}/{name}")
+
+    parsed = stand_ins.packages(spark, sf_dir)
+    settled = written(station.settle(parsed), "settled")
+    bare = station.bare_sections(parsed, "environment", "link", "summary").drop("schedule")
+    packages = written(bare, "deliveries")
     summaries = station.summary_rows(settled)
-    stored = station.alerts(
-        station.offered_alerts(packages), station.first_seen_passes(summaries), with_order=True
-    )
+    offered, passes = station.offered_alerts(packages), station.first_seen_passes(summaries)
+    stored = written(station.alerts(offered, passes, with_order=True), "alerts")
     tables = {
         "settled": settled,
         "environment": station.environment_rows(settled),

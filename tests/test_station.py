@@ -292,3 +292,16 @@ def test_bare_sections_settle_alike(spark):
     assert bare.schema["environment"].dataType.names == ["timestamp", "ogs_id"]
     offered = station.offered_alerts(station.bare_sections(whole, "environment", "link", "summary"))
     assert sorted(offered.collect()) == sorted(station.offered_alerts(whole).collect())
+
+
+def test_snapshot_tables_parse_nothing_again(spark, monkeypatch, tmp_path):
+    """Each table of a snapshot is read from what was stored; no plan holds the documents' text."""
+    from skyledger.bindings import queries, stand_ins
+
+    packages = parsed(spark, package(0), package(1), package(2))
+    monkeypatch.setattr(stand_ins, "packages", lambda *_: packages)
+    tables = queries._station_tables(spark, str(tmp_path))
+    for name in ("environment", "link", "summary", "alerts", "schedule", "collector"):
+        plan = tables(name)._jdf.queryExecution().optimizedPlan().toString()
+        assert "from_json" not in plan
+        assert tables(name).count() or name == "alerts"
