@@ -551,14 +551,14 @@ def _rollup_run(spark: SparkSession, sf_dir: str) -> Warehouse:
         third = F.ntile(3).over(Window.partitionBy().orderBy("log_file"))
         thirds = lines.select("log_file").distinct().withColumn("third", third)
         for number in (1, 2, 3):
-            part = lines.join(thirds.where(F.col("third") == number), "log_file", "left_semi")
+            # The names are few; without the hint all lines would be shuffled to meet them.
+            names = F.broadcast(thirds.where(F.col("third") == number))
+            part = lines.join(names, "log_file", "left_semi")
             _write_log_lines(part, f"{root}/landing")
             landed = stream_log_lines(spark, f"{root}/landing", max_files=10_000, glob=None, folder="log_file")
             start_ingest(landed, store_log_batch, warehouse, f"{root}/progress", "keypool").awaitTermination()
-            changes = entries_as_stream(warehouse, spark, max_files=10_000)
-            rolled = start_ingest(
-                changes, store_key_changes, warehouse, f"{root}/rollup-progress", "rollups", mode="update"
-            )
+            keys = entries_as_stream(warehouse, spark, max_files=10_000)
+            rolled = start_ingest(keys, store_key_changes, warehouse, f"{root}/rollup-progress", "rollups")
             rolled.awaitTermination()
             if number == 2:
                 compact_daily(warehouse, spark)

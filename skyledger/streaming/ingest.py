@@ -20,7 +20,7 @@ from skyledger.sources.tables import DAY, by_day
 from skyledger.streaming import rollups
 from skyledger.streaming.newest import merge_newest
 from skyledger.streaming.progress import COUNTERS, batch_counters
-from skyledger.streaming.rollups import store_latency, stream_key_changes
+from skyledger.streaming.rollups import store_latency, stream_key_rows
 from skyledger.streaming.warehouse import BATCH, KeyedTable, Warehouse, without_batch
 
 NO_ENTRY = "NO_ENTRY"
@@ -71,7 +71,7 @@ def _shaped_entries(lines: DataFrame) -> DataFrame:
 
 
 def entries_as_stream(warehouse: Warehouse, spark: SparkSession, max_files: int) -> DataFrame:
-    """The changes of keys that stored entries make, as a stream over them. The folder is
+    """The keys of stored entries, as a stream over them. The folder is
     made where no batch has made it yet, as a stream needs one to look at."""
     line = spark.createDataFrame([], "value string, log_file string, file_size long, part string, block_start long")
     rows = with_arrival_order(line)
@@ -80,7 +80,7 @@ def entries_as_stream(warehouse: Warehouse, spark: SparkSession, max_files: int)
         warehouse.write(shaped, ENTRIES, -1, *ENTRY_FOLDERS)
     plain = [f for f in shaped.schema.fields if f.name not in ENTRY_FOLDERS]
     folders = [T.StructField(BATCH, T.LongType()), *[shaped.schema[name] for name in ENTRY_FOLDERS]]
-    return stream_key_changes(spark, warehouse, T.StructType(plain + folders), max_files)
+    return stream_key_rows(spark, warehouse, T.StructType(plain + folders), max_files)
 
 
 def arrival(batch_id: int, *order: str) -> Column:
@@ -312,6 +312,7 @@ BATCH_TABLES = {
     "ogs_pass_schedule": (),
     "ogs_processed_packages": (PACKAGE_DAY,),
     COUNTERS: (),
+    rollups.KEY_ENDS.source: (),
     rollups.CHANGES: ("date",),
 }
 

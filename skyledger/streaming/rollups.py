@@ -1,10 +1,11 @@
 """The daily views of the key pool, kept by a pipeline of their own.
 
-It reads the stored log entries as a stream. Spark's state store holds, per key, the row the
-upsert leaves; a line that changes that row gives two changes, the old row with weight -1 and
-the new one with weight 1. Each micro-batch stores its changes by day and brings the groups
-they touch up to date. Neither looks at keys or days the batch does not name, but for a group
-that loses its least or greatest value.
+It reads the stored log entries as a stream. Of each key a table holds the first and the last
+line of every micro-batch, and so the row the upsert leaves; a line that changes that row gives
+two changes, the old row with weight -1 and the new one with weight 1. Each micro-batch stores
+its changes by day and brings the groups they touch up to date. Only rows of keys the batch
+names leave the table of keys, and no day it does not name is read, but for a group that loses
+its least or greatest value.
 
 A row is placed by its arrival, not by the order in which this pipeline meets it. So files that
 come late or twice, as after a replayed batch, change nothing they should not.
@@ -13,15 +14,17 @@ come late or twice, as after a replayed batch, change nothing they should not.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.functions.display import pool_type_rank
 from skyledger.operators import keypool
-from skyledger.operators.fold import fold_result
+from skyledger.operators.fold import FIRST, FIRST_ORD, LAST, LAST_ORD, fold_result, fold_state
+from skyledger.operators.fold import KEY as KEY_COLUMN
 from skyledger.operators.rollup import COUNT, GREATEST, LEAST, WEIGHT, Rollup, roll
 from skyledger.streaming.warehouse import BATCH, KeyedTable, Warehouse
 
@@ -36,13 +39,14 @@ LATENCY_COLUMNS = ["date", "measurements", "total_ms", "least_ms", "greatest_ms"
 KEY = "key_identity"
 ROW = ["key_pool_type", "source_site_id", "destination_site_id", "moment", "sequence_number"]
 ROW_TYPES = "key_pool_type string, source_site_id int, destination_site_id int, moment string, sequence_number int"
+KEY_ENDS = KeyedTable("key_ends", KEY, ["sequence_number"], "key_ends")
 
 
 # ---------------------------------------------------------------- changes of keys
 
 
 def key_rows(entries: DataFrame) -> DataFrame:
-    """Key creations for the state: the key, its row as plain values, and its place in arrival
+    """Key creations for the table of keys: the key, its row as plain values, and its place in arrival
     order as text that sorts alike."""
     fields = entries.schema["ord"].dataType.fields
     end = F.lit("\u0001")
@@ -54,9 +58,9 @@ def key_rows(entries: DataFrame) -> DataFrame:
     return rows.select(KEY, F.concat(*parts).alias("place"), *ROW)
 
 
-def _state_functions() -> tuple[Callable, Callable]:
-    """What runs in the tasks. The functions are made here, so that they travel by value and
-    executors need not have this package."""
+def _state_functions() -> tuple[Callable, str]:
+    """What runs in the tasks, and the shape of what it gives. The function is made here, so that
+    it travels by value and executors need not have this package."""
 
     def ends(batches):
         """Of each key in a batch of rows the first and the last: no key is most of a shuffle."""
@@ -65,45 +69,57 @@ def _state_functions() -> tuple[Callable, Callable]:
             both = pd.concat([ordered.drop_duplicates(KEY), ordered.drop_duplicates(KEY, keep="last")])
             yield both.drop_duplicates([KEY, "place"])
 
-    def changed(_, rows, state):
-        """Keep the row of a key: all of its first line, but the number of its last."""
-        before = tuple(state.get) if state.exists else None
-        first, last, row = (before[0], before[1], before[2:]) if before else (None, None, None)
-        for some in rows:
-            for place, *values in zip(*[some[c].tolist() for c in ("place", *ROW)], strict=True):
-                if first is None or place < first:
-                    first, row = place, (*values[:-1], row[-1] if row else values[-1])
-                if last is None or place >= last:
-                    last, row = place, (*row[:-1], values[-1])
-        state.update((first, last, *row))
-        if not before or before[2:] != row:
-            told = [(*before[2:], -1), (*row, 1)] if before else [(*row, 1)]
-            yield pd.DataFrame(told, columns=[*ROW, WEIGHT])
-
-    return ends, changed
-
-
-def key_changes(rows: DataFrame) -> DataFrame:
-    """The changes that streamed rows of `key_rows` make to the table of keys."""
-    ends, changed = _state_functions()
-    return (
-        rows.mapInPandas(ends, rows.schema)
-        .groupBy(KEY)
-        .applyInPandasWithState(
-            changed, f"{ROW_TYPES}, {WEIGHT} int", f"first string, last string, {ROW_TYPES}", "update", "NoTimeout"
-        )
+    return ends, f"{KEY} string, place string, {ROW_TYPES}"
+
+
+def key_ends(rows: DataFrame) -> DataFrame:
+    """Of each key the rows of `key_rows` that a fold of them may take, as they are stored: no
+    shuffle, and of a key two rows at most per batch of rows."""
+    ends, shape = _state_functions()
+    return rows.mapInPandas(ends, shape).withColumnRenamed("place", "ord")
+
+
+def _by_bytes(warehouse: Warehouse) -> Warehouse:
+    """The daily views tell keys apart byte by byte, whatever the collation of the tables."""
+    return replace(warehouse, collation=None)
+
+
+def key_changes(now: DataFrame, before: DataFrame | None) -> DataFrame:
+    """The changes that a micro-batch makes to the table of keys: a key keeps all of its first
+    row, but the number of its last. Both are fold states, None without earlier batches."""
+    if before is None:
+        return now.select(*_row_after(F.col(FIRST), F.col(LAST)), F.lit(1).alias(WEIGHT))
+    touched = before.join(now.select(KEY_COLUMN), KEY_COLUMN, "left_semi")
+    both = now.alias("n").join(touched.alias("b"), KEY_COLUMN, "left")
+    old, new = {}, {}
+    for name in (FIRST, LAST):
+        old[name], new[name] = F.col(f"b.{name}"), F.col(f"n.{name}")
+    known = F.col(f"b.{FIRST_ORD}").isNotNull()
+    first = F.when(known & (F.col(f"b.{FIRST_ORD}") <= F.col(f"n.{FIRST_ORD}")), old[FIRST]).otherwise(new[FIRST])
+    last = F.when(known & (F.col(f"b.{LAST_ORD}") > F.col(f"n.{LAST_ORD}")), old[LAST]).otherwise(new[LAST])
+    rows = both.select(
+        F.when(known, F.struct(*_row_after(old[FIRST], old[LAST]))).alias("old"),
+        F.struct(*_row_after(first, last)).alias("new"),
     )
+    gone = F.struct("old.*", F.lit(-1).alias(WEIGHT))
+    come = F.struct("new.*", F.lit(1).alias(WEIGHT))
+    told = F.when(F.col("old").isNull(), F.array(come)).otherwise(F.array(gone, come))
+    return rows.where(~F.col("old").eqNullSafe(F.col("new"))).select(F.inline(told))
+
+
+def _row_after(first: Column, last: Column) -> list[Column]:
+    return [(last if name in KEY_ENDS.replaces else first)[name].alias(name) for name in ROW]
 
 
-def stream_key_changes(spark: SparkSession, warehouse: Warehouse, schema: T.StructType, max_files: int) -> DataFrame:
-    """Changes as the stored entries of the key-pool pipeline make them."""
+def stream_key_rows(spark: SparkSession, warehouse: Warehouse, schema: T.StructType, max_files: int) -> DataFrame:
+    """Key creations as the key-pool pipeline stores them."""
     entries = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", max_files)
         .option("ignoreMissingFiles", True)  # of a batch that was replayed
         .parquet(warehouse.folder("log_entries"))
     )
-    return key_changes(key_rows(entries))
+    return key_rows(entries)
 
 
 # ---------------------------------------------------------------- daily tables
@@ -125,9 +141,12 @@ def _before(warehouse: Warehouse, spark: SparkSession, name: str, columns: list[
     return None if state is None else fold_result(state).select(*columns)
 
 
-def store_key_changes(warehouse: Warehouse, changes: DataFrame, batch_id: int) -> None:
-    """Store the changes of a micro-batch, then the daily groups they touch."""
-    spark = changes.sparkSession
+def store_key_changes(warehouse: Warehouse, rows: DataFrame, batch_id: int) -> None:
+    """Store the keys of a micro-batch, the changes they make, then the daily groups these touch."""
+    spark = rows.sparkSession
+    stored = warehouse.write(key_ends(rows), KEY_ENDS.source, batch_id)
+    before = _by_bytes(warehouse).state(spark, KEY_ENDS, upto=batch_id - 1)
+    changes = key_changes(fold_state(stored, KEY_ENDS.key, replaces=KEY_ENDS.replaces), before)
     timed = changes.withColumn("timestamp", F.col("moment").cast("timestamp_ntz")).drop("moment")
     dated = timed.withColumn("date", F.to_date("timestamp"))
     stored = warehouse.write(dated, CHANGES, batch_id, "date")
@@ -168,8 +187,9 @@ def daily_table(warehouse: Warehouse, spark: SparkSession, name: str) -> DataFra
 
 
 def compact_daily(warehouse: Warehouse, spark: SparkSession) -> dict[str, int | None]:
-    """Snapshot the daily tables; gives the newest batch each covers."""
-    return {name: warehouse.compact(spark, rolled_table(name, columns)) for name, columns in DAILY_TABLES.items()}
+    """Snapshot the daily tables and the keys they follow; gives the newest batch each covers."""
+    covered = {name: warehouse.compact(spark, rolled_table(name, columns)) for name, columns in DAILY_TABLES.items()}
+    return covered | {KEY_ENDS.name: _by_bytes(warehouse).compact(spark, KEY_ENDS)}
 
 
 # ---------------------------------------------------------------- views

@@ -15,7 +15,7 @@ from skyledger.sources.logs import stream_log_lines
 from skyledger.sources.packages import stream_packages
 from skyledger.streaming.ingest import compact, entries_as_stream, merge_batches, store_log_batch, store_package_batch
 from skyledger.streaming.progress import ProgressLog
-from skyledger.streaming.rollups import DAILY_TABLES, compact_daily, store_key_changes
+from skyledger.streaming.rollups import DAILY_TABLES, KEY_ENDS, compact_daily, store_key_changes
 from skyledger.streaming.warehouse import Warehouse
 
 # Attempts after a failure and the pause between them.
@@ -36,7 +36,6 @@ def start_ingest(
     checkpoint: str,
     name: str,
     interval: str | None = None,
-    mode: str = "append",
 ) -> StreamingQuery:
     """Start one pipeline. Without an interval it takes what is there and ends."""
     # Each pipeline has its own pool, so a long batch of one does not hold up the other. A
@@ -45,7 +44,6 @@ def start_ingest(
     pool = context.getLocalProperty("spark.scheduler.pool")
     writer = (
         stream.writeStream.queryName(name)
-        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(lambda batch, batch_id: store(warehouse, batch, batch_id))
     )
@@ -100,7 +98,6 @@ class IngestService:
             f"{self.settings.checkpoints}/{name}",
             name,
             pipeline.interval if continuous else None,
-            "update" if name == "rollups" else "append",
         )
 
     def start(self, continuous: bool = True, names: tuple[str, ...] = PIPELINES) -> dict[str, StreamingQuery]:
@@ -189,7 +186,7 @@ class IngestService:
     def maintain(self) -> dict[str, int | None]:
         """Snapshots, merged batches, and removal of what both replace; run it now and then,
         say once a day, beside the pipelines. Gives the newest batch merged of each table."""
-        for name in (*self.compact(), *DAILY_TABLES):
+        for name in (*self.compact(), *DAILY_TABLES, KEY_ENDS.name):
             self.warehouse.drop_old_snapshots(self.spark, name)
         return merge_batches(self.warehouse, self.spark, followed=self.settings.rollups.enabled)
 

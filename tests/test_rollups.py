@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from samples import LATENCY, at, created
 
 from skyledger.config import default_settings
+from skyledger.operators.fold import fold_state
 from skyledger.operators.rollup import Rollup, roll
 from skyledger.plans import views
 from skyledger.streaming import ingest, rollups, service
@@ -143,6 +144,48 @@ def test_keys_are_combined_before_the_shuffle(spark):
     assert sorted(left["place"]) == ["00000", "00999", "01000"]
 
 
+ROW_OF_KEY = ("PUBLIC", 1, 2, "2024-01-01 00:00:00")
+
+
+def fold_of_keys(spark, *rows):
+    """Fold state of rows of keys: key, place and number; the pool type tells which line it was."""
+    full = [(k, place, f"of {place}", *ROW_OF_KEY[1:], number) for k, place, number in rows]
+    frame = spark.createDataFrame(full, f"{rollups.KEY} string, ord string, {rollups.ROW_TYPES}")
+    return fold_state(frame, rollups.KEY, replaces=rollups.KEY_ENDS.replaces)
+
+
+def test_changes_of_a_batch_are_worked_out_without_python(spark):
+    """No function is called per key, and keys that the batch does not name give no change."""
+    before = fold_of_keys(spark, ("same", "1", 7), ("more", "2", 7), ("late", "5", 7), ("mid", "2", 7), ("mid", "6", 8), ("left", "1", 7))
+    now = fold_of_keys(spark, ("same", "3", 7), ("more", "3", 9), ("late", "4", 9), ("mid", "4", 9), ("new", "4", 1), ("new", "5", 2))
+    changes = rollups.key_changes(now, before)
+    told = sorted((r.key_pool_type, r.sequence_number, r.weight) for r in changes.collect())
+    assert told == [
+        ("of 2", 7, -1), ("of 2", 9, 1),  # a new number
+        ("of 4", 2, 1),  # a new key
+        ("of 4", 7, 1), ("of 5", 7, -1),  # an earlier line comes late: its row, the newest number
+    ]
+    plan = changes._jdf.queryExecution().executedPlan().toString()
+    assert "Pandas" not in plan and "Python" not in plan
+    assert rollups.key_changes(now, None).agg(F.sum("weight"), F.min("weight")).first()[:] == (5, 1)
+
+
+def test_no_state_is_kept_per_key_of_the_stream(spark, deployment):
+    """What a key costs is a row of a table, read again by the batches that name it."""
+    settings, logs = deployment
+    for number in range(2):
+        write_log(logs, f"keypool_{number}.log", [key(n, 10 * n + number) for n in range(number, 40 + number)])
+        running = IngestService(spark, settings)
+        running.run_available()
+        assert running.failures == {}
+        assert running.queries["rollups"].lastProgress["stateOperators"] == []
+        running.maintain()
+    warehouse = running.warehouse
+    assert_views_equal(spark, warehouse)
+    held = warehouse.folded(spark, rollups.KEY_ENDS)
+    assert held.count() == 41 and held.agg(F.max("sequence_number")).first()[0] == 401
+
+
 def test_without_entries_there_is_nothing_to_roll(spark, deployment):
     settings, _ = deployment
     warehouse = run(spark, settings)
